@@ -22,11 +22,17 @@ MAX_GROUP_ROWS = 1_000_000
 SLICE = "_slice"
 
 
-def group_sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
-    """(rows in total, rows of the largest group); map-side combined counts."""
+def group_sizes(df: DataFrame, by: Sequence[str], max_group: int) -> tuple[int, int]:
+    """(rows in total, an upper bound of the largest group).
+
+    The row count of a written table comes from its footers; groups are only
+    counted when that alone does not settle the question.
+    """
+    total = df.count()
+    if not by or total <= max_group:
+        return total, total
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
-    return int(total or 0), int(largest or 0)
+    return total, int(sizes.agg(F.max("n")).first()[0] or 0)
 
 
 def running_total(
@@ -42,7 +48,7 @@ def running_total(
     The size check reads ``df`` once more, so pass a staged or cheap frame.
     """
     weight = F.lit(1) if weight is None else weight
-    total, largest = group_sizes(df, by)
+    total, largest = group_sizes(df, by, max_group)
     up_to_here = (Window.unboundedPreceding, Window.currentRow)
     if largest <= max_group:
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(*up_to_here)
@@ -93,7 +99,7 @@ def average_ranks(
     max_group: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Tie-averaged rank of ``value`` within each group."""
-    _, largest = group_sizes(df, by)
+    _, largest = group_sizes(df, by, max_group)
     if largest <= max_group:
         ordered = Window.partitionBy(*by).orderBy(value)
         tied = Window.partitionBy(*by, value)

@@ -31,22 +31,26 @@ def grouped_percentiles(
     percentiles: Mapping[str, tuple[str, float]],
     aggregates: Sequence[Column] = (),
     max_group: int = MAX_GROUP_ROWS,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Group ``df`` by ``by``: ``aggregates`` plus exact percentiles.
 
-    ``percentiles`` maps an output name to (value column, probability).
+    ``percentiles`` maps an output name to (value column, probability). A known
+    upper bound of the size of any group, ``at_most``, can save the counting.
     """
     plain = [F.percentile(c, F.lit(p)).alias(n) for n, (c, p) in percentiles.items()]
+    if at_most is not None and at_most <= max_group:
+        return _whole_groups(df, by, [*aggregates, *plain])
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_group)
     hot = stage(sizes.select(*by), "hot_groups")
     hot_count = hot.count()
     if hot_count == 0:
-        return df.groupBy(*by).agg(*aggregates, *plain)
+        return _whole_groups(df, by, [*aggregates, *plain])
 
     listed = F.broadcast(hot) if hot_count <= BROADCAST_GROUPS else hot
     usual = df.join(listed, _null_safe(df, listed, by), "left_anti")
     large = df.join(listed, _null_safe(df, listed, by), "left_semi")
-    small_result = usual.groupBy(*by).agg(*aggregates, *plain)
+    small_result = _whole_groups(usual, by, [*aggregates, *plain])
     result = large.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *aggregates)
     for value in sorted({c for c, _ in percentiles.values()}):
         wanted = {n: p for n, (c, p) in percentiles.items() if c == value}
@@ -58,6 +62,15 @@ def grouped_percentiles(
     return small_result.unionByName(result.select(*small_result.columns))
 
 
+def _whole_groups(df: DataFrame, by: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
+    """Aggregate groups of checked size.
+
+    Rows are shuffled as they are: a partial ``percentile`` state of a small
+    group is larger than its rows.
+    """
+    return df.repartition(*by).groupBy(*by).agg(*aggregates)
+
+
 def _pick(
     df: DataFrame, by: Sequence[str], value: str, wanted: Mapping[str, float], max_group: int
 ) -> DataFrame:

@@ -135,15 +135,19 @@ def tidy_wide(
 def tidy_macro(
     observations: DataFrame, series: Sequence[str], fill: bool = True
 ) -> DataFrame:
-    """(series, date, value text) to one row per month, one column per series."""
+    """(series, date, value text) to one row per month, one column per series.
+
+    The pivot is one conditional aggregate, hence a single map-side combined
+    shuffle; a month has a row if any of the series has a value in it.
+    """
     monthly = (
         observations.select(
             "series", month_floor("date").alias("month"), as_number("value").alias("value")
         )
         .filter(F.col("value").isNotNull())
         .groupBy("month")
-        .pivot("series", list(series))
-        .agg(F.avg("value"))
+        .agg(*[F.avg(F.when(F.col("series") == s, F.col("value"))).alias(s) for s in series])
+        .filter(F.coalesce(*series).isNotNull())
     )
     return fill_interior_gaps(monthly, series) if fill else monthly
 

@@ -264,7 +264,9 @@ SQL["duplicate_cells"] = with_(RAW, """
 SELECT region_zip, period_begin, period_end, count(*) AS n FROM tracker
 WHERE property_type = 'O' GROUP BY ALL HAVING count(*) > 1""")
 
-SQL["wide_index_unpivot"] = with_(INDEX, f"SELECT zip, month, {r('zhvi')} FROM home_index")
+# Seven places here: means of price per unit often end exactly half way at six.
+SQL["wide_index_unpivot"] = with_(
+    INDEX, "SELECT zip, month, round(zhvi, 7) AS zhvi FROM home_index")
 _MACROS = r("MORTGAGE30US", "UNRATE", "CPIAUCSL", "HOUST")
 SQL["macro_monthly_pivot"] = with_(MACRO, f"SELECT month, {_MACROS} FROM macro_raw")
 SQL["macro_gap_fill"] = with_(MACRO, f"SELECT month, {_MACROS} FROM macro")
@@ -285,8 +287,9 @@ labels AS (
     WHEN regexp_full_match(v, '[+-]?[0-9]+') THEN 'int'
     WHEN TRY_CAST(v AS DOUBLE) IS NOT NULL THEN 'float' ELSE 'str' END AS type_label
   FROM texts)""", """
-SELECT column_name, type_label, count(*) AS n FROM labels GROUP BY ALL
-QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, type_label) = 1""")
+SELECT * FROM (
+  SELECT column_name, type_label, count(*) AS n FROM labels GROUP BY column_name, type_label)
+QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY n DESC, type_label) = 1""")
 
 # --- panel, features, splits ----------------------------------------------------
 
@@ -626,11 +629,10 @@ FROM snap p LEFT JOIN shapes s ON s.zip = p.zip""")
 SQL["key_unmatched"] = with_(_GEO, """
 SELECT DISTINCT zip FROM snap WHERE zip NOT IN (SELECT zip FROM shapes) ORDER BY zip""")
 SQL["bounding_box"] = with_(_GEO + """,
-b AS (SELECT min(x) - 0.5 AS lon_min, min(y) - 0.5 AS lat_min, max(x) + 0.5 AS lon_max,
-             max(y) + 0.5 AS lat_max
+b AS (SELECT CAST(min(x) - 0.5 AS DOUBLE) AS lon_min, CAST(min(y) - 0.5 AS DOUBLE) AS lat_min,
+             CAST(max(x) + 0.5 AS DOUBLE) AS lon_max, CAST(max(y) + 0.5 AS DOUBLE) AS lat_max
       FROM shapes WHERE zip IN (SELECT zip FROM snap))""", """
-SELECT CAST(lon_min AS DOUBLE) AS lon_min, CAST(lat_min AS DOUBLE) AS lat_min,
-  CAST(lon_max AS DOUBLE) AS lon_max, CAST(lat_max AS DOUBLE) AS lat_max,
+SELECT lon_min, lat_min, lon_max, lat_max,
   round(lon_min - greatest((lon_max - lon_min) * 0.08, 0.05), 6) AS lon_from,
   round(lon_max + greatest((lon_max - lon_min) * 0.08, 0.05), 6) AS lon_to,
   round(lat_min - greatest((lat_max - lat_min) * 0.08, 0.05), 6) AS lat_from,

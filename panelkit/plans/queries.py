@@ -66,8 +66,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = lambda spark, folder: rounded(fn(spark, folder))
+def query(fn: Query, digits: int = 6) -> Query:
+    QUERIES[fn.__name__] = lambda spark, folder: rounded(fn(spark, folder), digits)
     return fn
 
 
@@ -138,11 +138,14 @@ def duplicate_cells(spark, folder):
     return contracts.duplicate_keys(raw, ["region_zip", "period_begin", "period_end"])
 
 
-@query
 def wide_index_unpivot(spark, folder):
     return tidy.tidy_wide(bind.index_wide(spark, folder))
 
 
+# Means of price per unit often end exactly half way at six places.
+query(wide_index_unpivot, digits=7)
+
+
 @query
 def macro_monthly_pivot(spark, folder):
     return macro_months(spark, folder, fill=False)

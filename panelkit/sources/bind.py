@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.config import PanelParams
-from panelkit.functions.calendar import month_floor
+from panelkit.functions.calendar import month_floor, month_index
 from panelkit.functions.keys import pad_key
 from panelkit.operators.quantiles import grouped_percentiles
 
@@ -35,38 +35,36 @@ def tracker(spark: SparkSession, folder: str) -> DataFrame:
     """Raw tracker: trailing windows, single-month windows of 1996, duplicates.
 
     A line item belongs to the three windows that end in its ship month and the
-    two months after; one of 1996 also to a single-month window. Windows are
-    made by one explode, so the table is read once for the metrics.
+    two months after; one of 1996 also to a single-month window. The windows of
+    a line are small numbers made by one explode, so the table is read once, and
+    dates are only computed per cell.
     """
-    ship = month_floor("l_shipdate")
+    lines = table(spark, folder, "lineitem")
 
-    def window(end_offset: int, months: int):
-        return F.struct(
-            F.add_months(ship, end_offset - months + 1).alias("begin"),
-            F.last_day(F.add_months(ship, end_offset)).alias("end"),
+    def windows(*pairs):
+        return F.array(
+            *[F.struct(F.lit(a).alias("ahead"), F.lit(n).alias("span")) for a, n in pairs]
         )
 
-    whole = F.array(*[window(i, 3) for i in range(3)])
-    single = F.when(F.year("l_shipdate") == 1996, F.array(window(0, 1)))
-    windows = F.concat(whole, F.coalesce(single, F.slice(whole, 1, 0)))
-    rows = (
-        table(spark, folder, "lineitem")
-        .select(
-            "l_suppkey",
-            F.col("l_linestatus").alias("property_type"),
-            "l_extendedprice",
-            "l_quantity",
-            "l_discount",
-            "l_returnflag",
-            F.explode(windows).alias("w"),
-        )
-        .select("*", F.col("w.begin").alias("period_begin"), F.col("w.end").alias("period_end"))
-        .drop("w")
-        .filter(F.trunc("period_end", "month").between(F.lit(FIRST_MONTH), F.lit(LAST_MONTH)))
-    )
+    whole = ((0, 3), (1, 3), (2, 3))
+    rows = lines.select(
+        "l_suppkey",
+        F.col("l_linestatus").alias("property_type"),
+        month_index("l_shipdate").alias("ship"),
+        "l_extendedprice",
+        "l_quantity",
+        "l_discount",
+        "l_returnflag",
+        F.inline(
+            F.when(F.year("l_shipdate") == 1996, windows(*whole, (0, 1))).otherwise(
+                windows(*whole)
+            )
+        ),
+    ).withColumn("end_month", F.col("ship") + F.col("ahead"))
+    first, last = (m.year * 12 + m.month for m in (FIRST_MONTH, LAST_MONTH))
     cells = grouped_percentiles(
-        rows,
-        ["l_suppkey", "property_type", "period_begin", "period_end"],
+        rows.filter(F.col("end_month").between(first, last)),
+        ["l_suppkey", "property_type", "end_month", "span"],
         {
             "median_sale_price": ("l_extendedprice", 0.5),
             "median_dom": ("l_quantity", 0.5),
@@ -78,29 +76,40 @@ def tracker(spark: SparkSession, folder: str) -> DataFrame:
             F.avg(1 - F.col("l_discount")).alias("avg_sale_to_list"),
             F.avg((F.col("l_discount") == 0).cast("double")).alias("sold_above_list"),
         ],
+        # A line is at most once in a cell, and footers give this count.
+        at_most=lines.count(),
     )
-    month = month_floor("period_end")
-    gap = (month == F.lit(GAP_MONTH)) & (F.col("l_suppkey") % 7 == 0)
-    bumps = F.when(
-        month == F.lit(DUPLICATED_MONTH), F.array(F.lit(0.0), F.lit(1.0))
-    ).otherwise(F.array(F.lit(0.0)))
-    return (
-        cells.filter(~gap)
-        .select("*", F.explode(bumps).alias("bump"))
-        .select(
+    gap_month = GAP_MONTH.year * 12 + GAP_MONTH.month
+    gap = (F.col("end_month") == gap_month) & (F.col("l_suppkey") % 7 == 0)
+    years, month = F.floor((F.col("end_month") - 1) / 12), (F.col("end_month") - 1) % 12 + 1
+    ends_in = F.make_date(years.cast("int"), month.cast("int"), F.lit(1))
+
+    def published(bump: float):
+        return F.struct(
             F.concat(F.lit("Zip Code: "), F.col("l_suppkey").cast("string")).alias("region_zip"),
-            "property_type",
-            "period_begin",
-            "period_end",
-            (F.col("median_sale_price") + F.col("bump")).alias("median_sale_price"),
-            "homes_sold",
-            "inventory",
-            "new_listings",
-            "median_dom",
-            "avg_sale_to_list",
-            "sold_above_list",
-            F.lit(None).cast("double").alias("price_drops"),
+            F.add_months("month", 1 - F.col("span")).alias("period_begin"),
+            F.last_day("month").alias("period_end"),
+            (F.col("median_sale_price") + bump).alias("median_sale_price"),
         )
+
+    # Text and dates of a published row come out of the generator, so a later
+    # filter on them is evaluated per cell and not pushed down to every line.
+    once, twice = F.array(published(0.0)), F.array(published(0.0), published(1.0))
+    rows_of_cell = F.when(F.col("month") == F.lit(DUPLICATED_MONTH), twice).otherwise(once)
+    others = [
+        "property_type",
+        "homes_sold",
+        "inventory",
+        "new_listings",
+        "median_dom",
+        "avg_sale_to_list",
+        "sold_above_list",
+    ]
+    return (
+        cells.filter(~gap)
+        .withColumn("month", ends_in)
+        .select(*others, F.inline(rows_of_cell))
+        .withColumn("price_drops", F.lit(None).cast("double"))
     )
 
 
