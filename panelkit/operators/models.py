@@ -192,8 +192,9 @@ def run_parallel(jobs: Sequence[Callable[[], object]], parallelism: int) -> list
     """Run independent fits from a few driver threads; each fit is a Spark job."""
     if parallelism <= 1 or len(jobs) <= 1:
         return [job() for job in jobs]
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(parallelism) as pool:
-        futures = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        futures = [pool.submit(inherit(job)) for job in jobs]
         return [f.result() for f in futures]
 
 

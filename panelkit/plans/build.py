@@ -17,7 +17,7 @@ from panelkit.operators.tidy import (
     tidy_tracker,
 )
 from panelkit.sources import bind
-from panelkit.staging import stage
+from panelkit.staging import stage, staged_path
 
 
 def conform(
@@ -71,11 +71,45 @@ def bound_panel(spark: SparkSession, folder: str) -> DataFrame:
     return build_panel(tidy, index, macro_months(spark, folder), bind.PARAMS, validate=False)
 
 
-def bound_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Feature table of the test tables, written once, with its split."""
+# Written tables of this process: (application, table, input files) -> path.
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _inputs(spark: SparkSession, folder: str) -> tuple:
+    """Name, size and time of the input files, from the file system alone."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(
+        sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in listed)
+    )
+
+
+def written_once(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
+    """Table that the build job writes and every later job reads.
+
+    The models and decisions read the feature table, they do not rebuild it. It
+    is written again whenever an input file changes.
+    """
+    key = (spark.sparkContext.applicationId, name, _inputs(spark, folder))
+    if key not in _WRITTEN:
+        _WRITTEN[key] = staged_path(build(spark, folder), name)
+    return spark.read.parquet(_WRITTEN[key])
+
+
+def build_bound_features(spark: SparkSession, folder: str) -> DataFrame:
     features = stage(build_features(bound_panel(spark, folder), bind.PARAMS), "features")
-    return assign_split(features, bind.PARAMS)
+    return document(assign_split(features, bind.PARAMS), bind.PARAMS)
 
 
-def bound_lookup(spark: SparkSession, folder: str) -> DataFrame:
+def build_bound_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return resolve_metro(bind.metro_rows(spark, folder))
+
+
+def bound_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Feature table of the test tables with its split."""
+    return written_once(spark, folder, "feature_table", build_bound_features)
+
+
+def bound_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Zip to metro lookup of the test tables."""
+    return written_once(spark, folder, "lookup", build_bound_lookup)

@@ -40,12 +40,16 @@ def application_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/panelkit-{spark.sparkContext.applicationId}"
 
 
+def staged_path(df: DataFrame, name: str = "table") -> str:
+    """Write ``df`` into the shared folder and return its path."""
+    path = f"{application_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return path
+
+
 def stage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once and return a scan of what was written."""
-    spark = df.sparkSession
-    path = f"{application_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(staged_path(df, name))
 
 
 def release(spark: SparkSession) -> None:
