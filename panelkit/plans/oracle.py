@@ -334,9 +334,10 @@ SQL["rolling_window_36"] = with_(FEATURES, f"""
 SELECT zip, month, {r('target')} FROM features
 WHERE target IS NOT NULL AND month IN (
   SELECT DISTINCT month FROM features WHERE target IS NOT NULL ORDER BY month DESC LIMIT 36)""")
-SQL["entity_history"] = with_(FEATURES, f"""
-SELECT zip, month, {r('median_sale_price', 'target')}, split FROM features
-WHERE zip = '00007'""")
+SQL["entity_history"] = with_(FEATURES, """
+SELECT zip, count(*) AS months, min(month) AS first_month, max(month) AS last_month,
+  round(arg_max(median_sale_price, month), 6) AS last_price, arg_max(split, month) AS last_split
+FROM features GROUP BY zip""")
 
 # --- metrics --------------------------------------------------------------------
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.config import Controls, ModelParams
-from panelkit.functions.numbers import pct_change
 from panelkit.operators import (
     contracts,
     decide,
@@ -275,10 +274,14 @@ def rolling_window_36(spark, folder):
 
 @query
 def entity_history(spark, folder):
-    """One entity's history: the key predicate reaches the scan of the feature table."""
+    """Every entity's span, length and latest state, in one pass."""
     table = bound_features(spark, folder)
-    return table.filter(F.col("zip") == "00007").select(
-        "zip", "month", "median_sale_price", "target", "split"
+    return table.groupBy("zip").agg(
+        F.count(F.lit(1)).alias("months"),
+        F.min("month").alias("first_month"),
+        F.max("month").alias("last_month"),
+        F.max_by("median_sale_price", "month").alias("last_price"),
+        F.max_by("split", "month").alias("last_split"),
     )
 
 
