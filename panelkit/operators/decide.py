@@ -12,7 +12,7 @@ from panelkit.config import Controls, ModelParams, band_columns
 from panelkit.errors import ContractError, PanelError
 from panelkit.functions.numbers import clamp, finite, non_negative
 from panelkit.functions.text import money
-from panelkit.operators.ordering import MAX_GROUP_ROWS, position
+from panelkit.operators.ordering import position
 from panelkit.staging import stage
 
 UNKNOWN = "Unknown"
@@ -153,7 +153,7 @@ def rank(
     predictions: DataFrame,
     lam: float,
     by: Sequence[str] = (),
-    max_group: int = MAX_GROUP_ROWS,
+    max_group: int | None = None,
 ) -> DataFrame:
     """Score and dense rank over the whole universe, before any filter."""
     return position(add_score(predictions, lam), ranking_order(), by, "rank", max_group)
@@ -217,19 +217,22 @@ def decide(
     lookup: DataFrame,
     scorer: Callable[[DataFrame], DataFrame],
     params: ModelParams = ModelParams(),
-    max_group: int = MAX_GROUP_ROWS,
+    exclusions: DataFrame | None = None,
+    max_group: int | None = None,
 ) -> Decision:
     """Universe, scenario, score, rank, filter, allocate.
 
     The universe is cut before scoring and the rank is given before filtering.
-    The scored rows are written once; everything after reads that table.
+    The scored rows are written once; everything after reads that table. Keys to
+    leave out come as a DataFrame or, if few, with the controls.
     """
     universe = subset_universe(features, lookup, controls.metros)
     shifted = apply_scenario(universe, scenario_shift(controls, params), params)
     scored = stage(attach_metro(scorer(shifted), lookup), "scored")
     ranked = rank(scored, risk_lambda(controls, params), max_group=max_group)
+    left_out = controls.exclude_zips if exclusions is None else exclusions
     kept = eligible(
-        ranked, controls.min_roi, controls.max_downside, controls.ci_level, controls.exclude_zips
+        ranked, controls.min_roi, controls.max_downside, controls.ci_level, left_out
     )
     qualifying = allocate(kept, controls.budget)
     return Decision(ranked, qualifying, decision_summary(ranked, qualifying, controls.budget))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.text import feature_label, phrase
-from panelkit.operators.ordering import MAX_GROUP_ROWS
 from panelkit.operators.quantiles import grouped_percentiles
 
 KEY = ["zip", "month"]
@@ -108,7 +107,7 @@ def peer_medians(
     snapshot: DataFrame,
     lookup: DataFrame,
     columns: Sequence[str],
-    max_group: int = MAX_GROUP_ROWS,
+    max_group: int | None = None,
 ) -> DataFrame:
     """Each zip's feature values beside the median of its metro, for all zips.
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.operators.ordering import MAX_GROUP_ROWS, average_ranks
+from panelkit.operators.ordering import average_ranks
 
 # Half of the distance that still counts as the same best value.
 BEST_TOLERANCE = 1e-12
@@ -22,7 +22,7 @@ def rank_correlation(
     by: Sequence[str],
     left: str = "prediction",
     right: str = "target",
-    max_group: int = MAX_GROUP_ROWS,
+    max_group: int | None = None,
 ) -> DataFrame:
     """Spearman correlation per group from tie-averaged ranks.
 
@@ -37,7 +37,7 @@ def rank_correlation(
 
 
 def group_metrics(
-    predictions: DataFrame, by: Sequence[str], max_group: int = MAX_GROUP_ROWS
+    predictions: DataFrame, by: Sequence[str], max_group: int | None = None
 ) -> DataFrame:
     """rmse, mae, dir_acc, rank_corr and n per group, plus their raw sums."""
     error = F.col("prediction") - F.col("target")
@@ -76,7 +76,7 @@ def pooled_metrics(per_group: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def metrics_report(
-    predictions: DataFrame, labels: Sequence[str] = (), max_group: int = MAX_GROUP_ROWS
+    predictions: DataFrame, labels: Sequence[str] = (), max_group: int | None = None
 ) -> DataFrame:
     """Per month and, with a NULL month, pooled metrics for each label."""
     per_month = group_metrics(predictions, [*labels, "month"], max_group)

@@ -28,7 +28,6 @@ from panelkit.config import ModelParams, PanelParams
 from panelkit.errors import ContractError, PanelError
 from panelkit.functions.numbers import quantile_label
 from panelkit.operators import metrics
-from panelkit.operators.ordering import MAX_GROUP_ROWS
 from panelkit.operators.quantiles import grouped_percentiles
 from panelkit.operators.split import Fold, drop_flagged, require_filled_folds, rolling_folds
 from panelkit.staging import stage
@@ -387,7 +386,7 @@ def fit_bands(
     train: DataFrame,
     columns: Sequence[str],
     params: ModelParams = ModelParams(),
-    max_group: int = MAX_GROUP_ROWS,
+    max_group: int | None = None,
 ) -> BandModel:
     """Leaf-quantile bands: one tree, then exact target quantiles per leaf.
 
@@ -419,13 +418,20 @@ def calibrate(
     columns: Sequence[str],
     panel_params: PanelParams = PanelParams(),
     params: ModelParams = ModelParams(),
+    parallelism: int = 4,
 ) -> DataFrame:
     """Coverage of freshly fitted bands on every gapped fold."""
-    parts = []
-    for fold in rolling_folds(features, panel_params, params.folds):
-        train, held = fold_pair(features, fold, params.exclude_flags)
-        banded = fit_bands(train, columns, params).transform(held.select(*KEPT, *columns))
-        parts.append(
-            banded.select(F.lit(fold.fold).alias("fold"), *KEPT, "p05", "p10", "p90", "p95")
-        )
+
+    def job(fold: Fold):
+        def run() -> DataFrame:
+            train, held = fold_pair(features, fold, params.exclude_flags)
+            banded = fit_bands(train, columns, params).transform(held.select(*KEPT, *columns))
+            return banded.select(
+                F.lit(fold.fold).alias("fold"), *KEPT, "p05", "p10", "p90", "p95"
+            )
+
+        return run
+
+    folds = rolling_folds(features, panel_params, params.folds)
+    parts = run_parallel([job(f) for f in folds], parallelism)
     return metrics.interval_coverage(stage(_union(parts), "bands"))

@@ -11,17 +11,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.staging import stage
 
-# Rows one window task may hold (a sorted, spillable group of narrow rows).
+# Rows of one group that a single task may hold (narrow rows, sorted, spillable).
 MAX_GROUP_ROWS = 1_000_000
+LIMIT_SETTING = "spark.panelkit.maxGroupRows"
 
 SLICE = "_slice"
 
 
+def group_limit(spark: SparkSession, max_group: int | None = None) -> int:
+    """The limit in force: an argument, else the session setting, else the default."""
+    if max_group is not None:
+        return max_group
+    return int(spark.conf.get(LIMIT_SETTING, str(MAX_GROUP_ROWS)))
+
+
 def group_sizes(df: DataFrame, by: Sequence[str], max_group: int) -> tuple[int, int]:
     """(rows in total, an upper bound of the largest group).
 
@@ -41,13 +49,14 @@ def running_total(
     by: Sequence[str] = (),
     weight: Column | None = None,
     name: str = "running",
-    max_group: int = MAX_GROUP_ROWS,
+    max_group: int | None = None,
 ) -> DataFrame:
     """Inclusive running sum of ``weight`` (default 1) in a total order per group.
 
     The size check reads ``df`` once more, so pass a staged or cheap frame.
     """
     weight = F.lit(1) if weight is None else weight
+    max_group = group_limit(df.sparkSession, max_group)
     total, largest = group_sizes(df, by, max_group)
     up_to_here = (Window.unboundedPreceding, Window.currentRow)
     if largest <= max_group:
@@ -85,7 +94,7 @@ def position(
     order: Sequence[Column],
     by: Sequence[str] = (),
     name: str = "rank",
-    max_group: int = MAX_GROUP_ROWS,
+    max_group: int | None = None,
 ) -> DataFrame:
     """Dense position 1..n in a total order, per group."""
     return running_total(df, order, by, None, name, max_group)
@@ -96,9 +105,10 @@ def average_ranks(
     value: str,
     by: Sequence[str],
     name: str,
-    max_group: int = MAX_GROUP_ROWS,
+    max_group: int | None = None,
 ) -> DataFrame:
     """Tie-averaged rank of ``value`` within each group."""
+    max_group = group_limit(df.sparkSession, max_group)
     _, largest = group_sizes(df, by, max_group)
     if largest <= max_group:
         ordered = Window.partitionBy(*by).orderBy(value)
@@ -106,7 +116,8 @@ def average_ranks(
         rank = F.rank().over(ordered) + (F.count(F.lit(1)).over(tied) - 1) / F.lit(2.0)
         return df.withColumn(name, rank.cast("double"))
     # Ties collapse before anything is ordered, so a value that a third of the
-    # rows share is one row here.
+    # rows share is one row here. It meets those rows again in a join with one
+    # row per value, where Spark splits a skewed left side.
     values = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_ties"))
     upto = running_total(
         stage(values, "values"), [F.col(value)], by, F.col("_ties"), "_upto", max_group

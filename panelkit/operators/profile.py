@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.operators.ordering import MAX_GROUP_ROWS
 from panelkit.operators.quantiles import grouped_percentiles
 
 
@@ -85,7 +84,7 @@ def value_percentiles(
     by: Sequence[str],
     column: str,
     probabilities: Sequence[float],
-    max_group: int = MAX_GROUP_ROWS,
+    max_group: int | None = None,
 ) -> DataFrame:
     """Linearly interpolated percentiles, named p50, p95, ..."""
     named = {f"p{round(p * 100):02d}": (column, p) for p in probabilities}

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.operators.ordering import MAX_GROUP_ROWS, running_total
+from panelkit.operators.ordering import group_limit, running_total
 from panelkit.staging import stage
 
 # Groups that may be sent to every task as a filter list.
@@ -30,7 +30,7 @@ def grouped_percentiles(
     by: Sequence[str],
     percentiles: Mapping[str, tuple[str, float]],
     aggregates: Sequence[Column] = (),
-    max_group: int = MAX_GROUP_ROWS,
+    max_group: int | None = None,
     at_most: int | None = None,
 ) -> DataFrame:
     """Group ``df`` by ``by``: ``aggregates`` plus exact percentiles.
@@ -38,6 +38,7 @@ def grouped_percentiles(
     ``percentiles`` maps an output name to (value column, probability). A known
     upper bound of the size of any group, ``at_most``, can save the counting.
     """
+    max_group = group_limit(df.sparkSession, max_group)
     plain = [F.percentile(c, F.lit(p)).alias(n) for n, (c, p) in percentiles.items()]
     if at_most is not None and at_most <= max_group:
         return _whole_groups(df, by, [*aggregates, *plain])

@@ -20,6 +20,10 @@ from panelkit.sources import bind
 from panelkit.staging import stage, staged_path
 
 
+# Splits, folds and snapshots select months: sorted files let them skip row groups.
+STORED_ORDER = ("month", "zip")
+
+
 def conform(
     tracker: DataFrame,
     index: DataFrame,
@@ -44,7 +48,8 @@ def conform(
 
 def feature_table(panel: DataFrame, params: PanelParams = PanelParams()) -> DataFrame:
     """Documented features with their split, materialised."""
-    features = stage(build_features(panel, params), "features")
+    made = build_features(panel, params).sortWithinPartitions(*STORED_ORDER)
+    features = stage(made, "features")
     return document(assign_split(features, params), params)
 
 
@@ -97,7 +102,8 @@ def written_once(spark: SparkSession, folder: str, name: str, build) -> DataFram
 
 
 def build_bound_features(spark: SparkSession, folder: str) -> DataFrame:
-    features = stage(build_features(bound_panel(spark, folder), bind.PARAMS), "features")
+    made = build_features(bound_panel(spark, folder), bind.PARAMS)
+    features = stage(made.sortWithinPartitions(*STORED_ORDER), "features")
     return document(assign_split(features, bind.PARAMS), bind.PARAMS)
 
 

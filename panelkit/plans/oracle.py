@@ -1,4 +1,8 @@
-"""SQL of the registered queries for an independent engine on the same tables."""
+"""SQL of the registered queries for an independent engine on the same tables.
+
+Doubles are rounded as in the queries: to six places after a small nudge, so that
+a value that ends exactly half way goes the same way on both sides.
+"""
 
 from __future__ import annotations
 
@@ -199,7 +203,7 @@ given AS (
 
 def r(*names: str) -> str:
     """Rounded output columns, each named after itself."""
-    return ", ".join(f"round({n}, 6) AS {n}" for n in names)
+    return ", ".join(f"round({n} + 1e-9, 6) AS {n}" for n in names)
 
 
 def metrics(source: str, label: str = "") -> str:
@@ -264,9 +268,7 @@ SQL["duplicate_cells"] = with_(RAW, """
 SELECT region_zip, period_begin, period_end, count(*) AS n FROM tracker
 WHERE property_type = 'O' GROUP BY ALL HAVING count(*) > 1""")
 
-# Seven places here: means of price per unit often end exactly half way at six.
-SQL["wide_index_unpivot"] = with_(
-    INDEX, "SELECT zip, month, round(zhvi, 7) AS zhvi FROM home_index")
+SQL["wide_index_unpivot"] = with_(INDEX, f"SELECT zip, month, {r('zhvi')} FROM home_index")
 _MACROS = r("MORTGAGE30US", "UNRATE", "CPIAUCSL", "HOUST")
 SQL["macro_monthly_pivot"] = with_(MACRO, f"SELECT month, {_MACROS} FROM macro_raw")
 SQL["macro_gap_fill"] = with_(MACRO, f"SELECT month, {_MACROS} FROM macro")
@@ -298,7 +300,7 @@ SQL["panel_join"] = with_(
 
 SQL["panel_coverage"] = with_(TIDY + "," + INDEX, """
 SELECT count(*) AS left_rows, count(i.zip) AS matched_rows,
-       round(count(i.zip) / count(*), 6) AS coverage
+       round(count(i.zip) / count(*) + 1e-9, 6) AS coverage
 FROM tidy t LEFT JOIN home_index i ON i.zip = t.zip AND i.month = t.month""")
 
 SQL["macro_range_check"] = with_(PANEL, " UNION ALL ".join(f"""
@@ -336,7 +338,7 @@ WHERE target IS NOT NULL AND month IN (
   SELECT DISTINCT month FROM features WHERE target IS NOT NULL ORDER BY month DESC LIMIT 36)""")
 SQL["entity_history"] = with_(FEATURES, """
 SELECT zip, count(*) AS months, min(month) AS first_month, max(month) AS last_month,
-  round(arg_max(median_sale_price, month), 6) AS last_price, arg_max(split, month) AS last_split
+  round(arg_max(median_sale_price, month) + 1e-9, 6) AS last_price, arg_max(split, month) AS last_split
 FROM features GROUP BY zip""")
 
 # --- metrics --------------------------------------------------------------------
@@ -357,8 +359,8 @@ _HOLDOUT = FOLDS + ", tested AS (SELECT * FROM clean WHERE split = 'test')" + NA
     src="tested") + metrics("guesses", "model")
 SQL["holdout_baselines"] = with_(_HOLDOUT, f"SELECT model, month, {_METRICS} FROM report")
 SQL["holdout_headline"] = with_(_HOLDOUT, """
-SELECT 'naive_momentum' AS model, 'naive_zero' AS baseline, round(a.mae, 6) AS model_value,
-       round(b.mae, 6) AS baseline_value, round(a.mae - b.mae, 6) AS delta, a.mae > b.mae AS beats
+SELECT 'naive_momentum' AS model, 'naive_zero' AS baseline, round(a.mae + 1e-9, 6) AS model_value,
+       round(b.mae + 1e-9, 6) AS baseline_value, round(a.mae - b.mae + 1e-9, 6) AS delta, a.mae > b.mae AS beats
 FROM pooled a, pooled b WHERE a.model = 'naive_momentum' AND b.model = 'naive_zero'""")
 
 _BANDS = FOLDS + "," + LOOKUP + """,
@@ -382,8 +384,8 @@ SQL["interval_coverage"] = with_(
 SQL["calibration_table"] = with_(_BANDS + """,
 c AS (SELECT '80' AS band, 0.8 AS nominal, avg(coverage_80) AS empirical FROM covered
       UNION ALL SELECT '90', 0.9, avg(coverage_90) FROM covered)""", """
-SELECT band, CAST(nominal AS DOUBLE) AS nominal, round(empirical, 6) AS empirical,
-       round(empirical - nominal, 6) AS gap, abs(empirical - nominal) > 0.10 AS beyond_tolerance
+SELECT band, CAST(nominal AS DOUBLE) AS nominal, round(empirical + 1e-9, 6) AS empirical,
+       round(empirical - nominal + 1e-9, 6) AS gap, abs(empirical - nominal) > 0.10 AS beyond_tolerance
 FROM c""")
 
 _DRIFT_COLS = ("median_sale_price", "homes_sold", "inventory", "new_listings", "median_dom",
@@ -401,7 +403,7 @@ shifts AS (""" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, abs((SELECT avg({c}) FROM win) - avg({c})) "
     f"/ nullif(stddev_samp({c}), 0) AS shift FROM ref" for c in _DRIFT_COLS
 ) + ")", """
-SELECT feature, round(shift, 6) AS shift FROM shifts
+SELECT feature, round(shift + 1e-9, 6) AS shift FROM shifts
 ORDER BY shifts.shift DESC NULLS LAST, feature LIMIT 8""")
 
 SQL["degradation_gate"] = with_(FOLDS + """,
@@ -411,7 +413,7 @@ e AS (
           WHERE month = (SELECT max(month) FROM recent)) AS fresh_rmse,
          (SELECT sqrt(avg((coalesce(price_mom_3m, 0) - target) ** 2)) FROM held)
            AS baseline_rmse)""", """
-SELECT round(fresh_rmse, 6) AS fresh_rmse, round(baseline_rmse, 6) AS baseline_rmse,
+SELECT round(fresh_rmse + 1e-9, 6) AS fresh_rmse, round(baseline_rmse + 1e-9, 6) AS baseline_rmse,
   fresh_rmse > 2 * baseline_rmse AS degraded, NOT fresh_rmse > 2 * baseline_rmse AS promote,
   CASE WHEN fresh_rmse > 2 * baseline_rmse THEN 3 ELSE 0 END AS exit_code,
   CASE WHEN fresh_rmse > 2 * baseline_rmse THEN printf(
@@ -425,17 +427,17 @@ _ALL = ("zip", "month", *_DRIFT_COLS, "low_volume", "target", "target_outlier",
 SQL["missing_profile"] = with_(FEATURES + ", gaps AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, (count(*) - count({c})) * 100.0 / count(*) AS missing_pct "
     "FROM features" for c in _ALL
-) + ")", "SELECT column_name, round(missing_pct, 6) AS missing_pct FROM gaps "
+) + ")", "SELECT column_name, round(missing_pct + 1e-9, 6) AS missing_pct FROM gaps "
          "WHERE missing_pct > 0")
 SQL["quality_summary"] = with_(FEATURES, """
 SELECT min(month) AS first_month, max(month) AS last_month, count(DISTINCT zip) AS zips,
   count(*) AS rows, count(*) FILTER (WHERE split = 'train') AS train_rows,
   count(*) FILTER (WHERE split = 'test') AS test_rows,
   count(*) FILTER (WHERE split = 'live') AS live_rows, count(target) AS labelled_rows,
-  round(count(target) / count(*), 6) AS labelled_share,
-  round(count(*) / (SELECT count(*) FROM tidy), 6) AS join_coverage,
-  round(count(*) FILTER (WHERE low_volume) / count(*), 6) AS low_volume_share,
-  round(count(*) FILTER (WHERE target_outlier) / count(target), 6) AS outlier_share
+  round(count(target) / count(*) + 1e-9, 6) AS labelled_share,
+  round(count(*) / (SELECT count(*) FROM tidy) + 1e-9, 6) AS join_coverage,
+  round(count(*) FILTER (WHERE low_volume) / count(*) + 1e-9, 6) AS low_volume_share,
+  round(count(*) FILTER (WHERE target_outlier) / count(target) + 1e-9, 6) AS outlier_share
 FROM features""")
 SQL["universe_summary"] = with_(FEATURES + "," + LOOKUP, """
 SELECT count(*) AS rows, count(DISTINCT f.zip) AS zips, max(month) AS as_of,
@@ -444,8 +446,8 @@ SELECT count(*) AS rows, count(DISTINCT f.zip) AS zips, max(month) AS as_of,
 FROM features f LEFT JOIN lookup l ON l.zip = f.zip""")
 SQL["value_percentiles"] = """
 SELECT o_orderpriority, count(o_totalprice) AS n,
-  round(quantile_cont(o_totalprice, 0.5), 6) AS p50,
-  round(quantile_cont(o_totalprice, 0.95), 6) AS p95
+  round(quantile_cont(o_totalprice, 0.5) + 1e-9, 6) AS p50,
+  round(quantile_cont(o_totalprice, 0.95) + 1e-9, 6) AS p95
 FROM orders GROUP BY o_orderpriority"""
 
 # --- decisions ------------------------------------------------------------------
@@ -453,8 +455,8 @@ FROM orders GROUP BY o_orderpriority"""
 _QUANTS = r("point", "p05", "p10", "p50", "p90", "p95", "ci80_width", "ci90_width")
 SQL["latest_snapshot"] = with_(SNAPSHOT, f"SELECT zip, month, {_QUANTS} FROM preds")
 SQL["scenario_apply"] = with_(FEATURES, """
-SELECT zip, month, round(MORTGAGE30US + 0.5, 6) AS MORTGAGE30US,
-  round(mortgage_delta_3m + 0.75, 6) AS mortgage_delta_3m, round(UNRATE, 6) AS UNRATE
+SELECT zip, month, round(MORTGAGE30US + 0.5 + 1e-9, 6) AS MORTGAGE30US,
+  round(mortgage_delta_3m + 0.75 + 1e-9, 6) AS mortgage_delta_3m, round(UNRATE + 1e-9, 6) AS UNRATE
 FROM features WHERE MORTGAGE30US IS NOT NULL""")
 SQL["scenario_grid"] = with_(FEATURES + """,
 shocked AS (
@@ -467,7 +469,7 @@ sp AS (""" + stub("shocked") + """),
 ss AS (SELECT *, p50 - 0.25 * ci80_width AS score FROM sp)""", """
 SELECT scenario_bps, row_number() OVER (PARTITION BY scenario_bps
          ORDER BY ss.score DESC, ss.p50 DESC, zip) AS rank,
-  zip, round(p50, 6) AS p50, round(score, 6) AS score FROM ss""")
+  zip, round(p50 + 1e-9, 6) AS p50, round(score + 1e-9, 6) AS score FROM ss""")
 
 _RANKED = "rank, zip, metro, " + r("p50", "p05", "p10", "p90", "p95", "ci80_width", "score")
 SQL["rank_universe"] = with_(SCORED, f"SELECT {_RANKED} FROM ranked")
@@ -477,20 +479,20 @@ SQL["allocate_budget"] = with_(
     decided(), f"SELECT zip, {r('score', 'weight', 'allocation')} FROM given")
 SQL["allocate_equal_split"] = with_(SCORED + """,
 g AS (SELECT zip FROM scored WHERE p50 >= 0 AND p10 >= -0.05)""", """
-SELECT zip, round(1.0 / (SELECT count(*) FROM g), 6) AS weight,
-       round(500000.0 / (SELECT count(*) FROM g), 6) AS allocation FROM g""")
+SELECT zip, round(1.0 / (SELECT count(*) FROM g) + 1e-9, 6) AS weight,
+       round(500000.0 / (SELECT count(*) FROM g) + 1e-9, 6) AS allocation FROM g""")
 _SUMMARY = """
 SELECT (SELECT count(*) FROM ranked) AS evaluated, count(*) AS qualified,
-  CAST(1000000 AS DOUBLE) AS budget, round(coalesce(sum(allocation), 0), 6) AS deployed,
-  round(greatest(0, 1000000 - coalesce(sum(allocation), 0)), 6) AS unallocated FROM given"""
+  CAST(1000000 AS DOUBLE) AS budget, round(coalesce(sum(allocation), 0) + 1e-9, 6) AS deployed,
+  round(greatest(0, 1000000 - coalesce(sum(allocation), 0)) + 1e-9, 6) AS unallocated FROM given"""
 SQL["decision_summary"] = with_(decided(), _SUMMARY)
 SQL["decision_none_qualify"] = with_(decided(min_roi=9.0), _SUMMARY)
 SQL["display_table"] = with_(decided("p05"), """
-SELECT rank, zip, metro, round(p50 * 100, 6) AS pred_pct, round(p05 * 100, 6) AS ci_lo_pct,
-  round(p95 * 100, 6) AS ci_hi_pct, round(score * 100, 6) AS score_pp,
-  round(allocation, 6) AS allocation, round(weight * 100, 6) AS share_pct FROM given""")
+SELECT rank, zip, metro, round(p50 * 100 + 1e-9, 6) AS pred_pct, round(p05 * 100 + 1e-9, 6) AS ci_lo_pct,
+  round(p95 * 100 + 1e-9, 6) AS ci_hi_pct, round(score * 100 + 1e-9, 6) AS score_pp,
+  round(allocation + 1e-9, 6) AS allocation, round(weight * 100 + 1e-9, 6) AS share_pct FROM given""")
 SQL["allocation_concentration"] = with_(decided(), """
-SELECT round(max(weight) * 100, 6) AS top_share_pct,
+SELECT round(max(weight) * 100 + 1e-9, 6) AS top_share_pct,
   count(*) FILTER (WHERE allocation > 0) AS funded, count(*) AS qualified,
   max(weight) * 100 >= 25 AS concentrated FROM given""")
 SQL["tolerance_effect"] = with_(SCORED + """,
@@ -501,39 +503,39 @@ x AS (SELECT label, w, sum(w) OVER (PARTITION BY label) AS total,
              count(*) OVER (PARTITION BY label) AS n FROM s),
 y AS (SELECT label, CASE WHEN total > 0 THEN w / total ELSE 1.0 / n END AS weight FROM x)""", """
 SELECT label AS risk_tolerance, count(*) FILTER (WHERE weight > 0) AS funded,
-       round(max(weight), 6) AS top_weight FROM y GROUP BY label""")
+       round(max(weight) + 1e-9, 6) AS top_weight FROM y GROUP BY label""")
 SQL["top_allocations"] = with_(decided(), """
-SELECT zip, rank, round(allocation, 6) AS allocation, round(weight * 100, 6) AS share_pct
+SELECT zip, rank, round(allocation + 1e-9, 6) AS allocation, round(weight * 100 + 1e-9, 6) AS share_pct
 FROM given ORDER BY given.allocation DESC, zip LIMIT 20""")
 SQL["entity_card"] = with_(decided(), """
-SELECT r.zip, r.rank, round(r.p50 * 100, 6) AS pred_pct, round(r.p10 * 100, 6) AS ci_lo_pct,
-  round(r.p90 * 100, 6) AS ci_hi_pct, round(g.allocation, 6) AS allocation
+SELECT r.zip, r.rank, round(r.p50 * 100 + 1e-9, 6) AS pred_pct, round(r.p10 * 100 + 1e-9, 6) AS ci_lo_pct,
+  round(r.p90 * 100 + 1e-9, 6) AS ci_hi_pct, round(g.allocation + 1e-9, 6) AS allocation
 FROM ranked r LEFT JOIN given g ON g.zip = r.zip""")
 SQL["map_frame"] = with_(decided(), f"""
-SELECT r.zip, r.metro, r.rank, {", ".join(f"round(r.{c}, 6) AS {c}"
+SELECT r.zip, r.metro, r.rank, {", ".join(f"round(r.{c} + 1e-9, 6) AS {c}"
     for c in ("p50", "p05", "p10", "p90", "p95"))},
-  g.zip IS NOT NULL AS qualifies, round(g.allocation, 6) AS allocation,
-  round(greatest(-0.05, least(0.05, r.p50)), 6) AS color_value,
+  g.zip IS NOT NULL AS qualifies, round(g.allocation + 1e-9, 6) AS allocation,
+  round(greatest(-0.05, least(0.05, r.p50)) + 1e-9, 6) AS color_value,
   coalesce('$' || format('{{:,}}', CAST(round(g.allocation, 0) AS BIGINT)), '—')
     AS allocation_text
 FROM ranked r LEFT JOIN given g ON g.zip = r.zip""")
 SQL["metro_subset"] = with_(SCORED, """
 SELECT row_number() OVER (ORDER BY ranked.score DESC, ranked.p50 DESC, zip) AS rank, zip, metro,
-       round(score, 6) AS score
+       round(score + 1e-9, 6) AS score
 FROM ranked WHERE metro IN ('GERMANY', 'FRANCE', 'JAPAN', 'CHINA', 'BRAZIL', 'KENYA')""")
 SQL["backtest_stub"] = with_(FEATURES + """,
 t AS (SELECT * FROM features WHERE split = 'test'), tp AS (""" + stub("t") + ")", """
-SELECT zip, month, round(p50, 6) AS predicted, round(target, 6) AS realized,
-       round(p10, 6) AS lo, round(p90, 6) AS hi FROM tp""")
+SELECT zip, month, round(p50 + 1e-9, 6) AS predicted, round(target + 1e-9, 6) AS realized,
+       round(p10 + 1e-9, 6) AS lo, round(p90 + 1e-9, 6) AS hi FROM tp""")
 SQL["quantile_repair"] = with_(FEATURES + """,
 q AS (
   SELECT zip, month, list_sort([price_mom_12m, price_mom_1m, zhvi_mom_3m, price_mom_6m,
                                 price_mom_3m]) AS a
   FROM features WHERE price_mom_12m IS NOT NULL AND price_mom_1m IS NOT NULL
     AND zhvi_mom_3m IS NOT NULL AND price_mom_6m IS NOT NULL AND price_mom_3m IS NOT NULL)""", """
-SELECT zip, month, round(a[1], 6) AS p05, round(a[2], 6) AS p10, round(a[3], 6) AS p50,
-  round(a[4], 6) AS p90, round(a[5], 6) AS p95, round(a[4] - a[2], 6) AS ci80_width,
-  round(a[5] - a[1], 6) AS ci90_width FROM q""")
+SELECT zip, month, round(a[1] + 1e-9, 6) AS p05, round(a[2] + 1e-9, 6) AS p10, round(a[3] + 1e-9, 6) AS p50,
+  round(a[4] + 1e-9, 6) AS p90, round(a[5] + 1e-9, 6) AS p95, round(a[4] - a[2] + 1e-9, 6) AS ci80_width,
+  round(a[5] - a[1] + 1e-9, 6) AS ci90_width FROM q""")
 
 # --- explanation ----------------------------------------------------------------
 
@@ -561,7 +563,7 @@ SELECT zip, month, feature, {r('contribution')}, place FROM placed WHERE place <
 SQL["contribution_residual"] = with_(CONTRIB, """
 SELECT zip, month, CAST(least(place, 4) AS INTEGER) AS place,
   CASE WHEN place <= 3 THEN feature ELSE 'All other features' END AS feature,
-  round(sum(contribution), 6) AS contribution
+  round(sum(contribution) + 1e-9, 6) AS contribution
 FROM placed GROUP BY ALL""")
 SQL["driver_sentence"] = with_(CONTRIB + """,
 sides AS (
@@ -581,7 +583,7 @@ SELECT zip, month, CASE
   ELSE 'The top features contribute almost nothing to this forecast.' END AS sentence
 FROM words""")
 SQL["stub_importance"] = with_(CONTRIB, """
-SELECT feature, round(avg(abs(contribution)), 6) AS importance FROM contrib GROUP BY feature
+SELECT feature, round(avg(abs(contribution)) + 1e-9, 6) AS importance FROM contrib GROUP BY feature
 ORDER BY avg(abs(contribution)) DESC, feature LIMIT 5""")
 SQL["seeded_sample"] = with_(FEATURES, f"""
 SELECT zip, month, {r('target')} FROM features
@@ -597,8 +599,8 @@ vals AS (""" + " UNION ALL ".join(
                      ("listings_to_sales", "listings-to-sales ratio"))) + """),
 m AS (SELECT metro, feature, median(this_zip) AS mm FROM vals GROUP BY ALL),
 u AS (SELECT feature, median(this_zip) AS um FROM vals GROUP BY ALL)""", """
-SELECT v.zip, v.metro, v.feature, round(this_zip, 6) AS this_zip,
-  round(CASE WHEN v.metro IS NULL THEN um ELSE mm END, 6) AS metro_median
+SELECT v.zip, v.metro, v.feature, round(this_zip + 1e-9, 6) AS this_zip,
+  round(CASE WHEN v.metro IS NULL THEN um ELSE mm END + 1e-9, 6) AS metro_median
 FROM vals v LEFT JOIN m ON m.metro = v.metro AND m.feature = v.feature
 JOIN u ON u.feature = v.feature""")
 
@@ -625,7 +627,7 @@ shapes AS (
 SQL["key_coverage"] = with_(_GEO, """
 SELECT count(*) AS requested, count(s.zip) AS matched,
   count(DISTINCT p.zip) FILTER (WHERE s.zip IS NULL) AS unmatched,
-  round(count(s.zip) / count(*), 6) AS match_rate
+  round(count(s.zip) / count(*) + 1e-9, 6) AS match_rate
 FROM snap p LEFT JOIN shapes s ON s.zip = p.zip""")
 SQL["key_unmatched"] = with_(_GEO, """
 SELECT DISTINCT zip FROM snap WHERE zip NOT IN (SELECT zip FROM shapes) ORDER BY zip""")
@@ -634,7 +636,7 @@ b AS (SELECT CAST(min(x) - 0.5 AS DOUBLE) AS lon_min, CAST(min(y) - 0.5 AS DOUBL
              CAST(max(x) + 0.5 AS DOUBLE) AS lon_max, CAST(max(y) + 0.5 AS DOUBLE) AS lat_max
       FROM shapes WHERE zip IN (SELECT zip FROM snap))""", """
 SELECT lon_min, lat_min, lon_max, lat_max,
-  round(lon_min - greatest((lon_max - lon_min) * 0.08, 0.05), 6) AS lon_from,
-  round(lon_max + greatest((lon_max - lon_min) * 0.08, 0.05), 6) AS lon_to,
-  round(lat_min - greatest((lat_max - lat_min) * 0.08, 0.05), 6) AS lat_from,
-  round(lat_max + greatest((lat_max - lat_min) * 0.08, 0.05), 6) AS lat_to FROM b""")
+  round(lon_min - greatest((lon_max - lon_min) * 0.08, 0.05) + 1e-9, 6) AS lon_from,
+  round(lon_max + greatest((lon_max - lon_min) * 0.08, 0.05) + 1e-9, 6) AS lon_to,
+  round(lat_min - greatest((lat_max - lat_min) * 0.08, 0.05) + 1e-9, 6) AS lat_from,
+  round(lat_max + greatest((lat_max - lat_min) * 0.08, 0.05) + 1e-9, 6) AS lat_to FROM b""")

@@ -1,7 +1,8 @@
 """Registered queries on the test tables: name -> callable(spark, folder).
 
 Every query runs over the whole tables. Doubles are rounded to six places at
-the very end, because the order of a distributed sum is not fixed.
+the very end, because the order of a distributed sum is not fixed; the nudge
+sends values that end exactly half way in one direction.
 """
 
 from __future__ import annotations
@@ -59,14 +60,20 @@ STUB_WEIGHTS = {
 }
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+NUDGE = 1e-9
+
+
+def rounded(df: DataFrame) -> DataFrame:
     return df.select(
-        *[F.round(n, digits).alias(n) if t == "double" else F.col(n) for n, t in df.dtypes]
+        *[
+            F.round(F.col(n) + F.lit(NUDGE), 6).alias(n) if t == "double" else F.col(n)
+            for n, t in df.dtypes
+        ]
     )
 
 
-def query(fn: Query, digits: int = 6) -> Query:
-    QUERIES[fn.__name__] = lambda spark, folder: rounded(fn(spark, folder), digits)
+def query(fn: Query) -> Query:
+    QUERIES[fn.__name__] = lambda spark, folder: rounded(fn(spark, folder))
     return fn
 
 
@@ -137,14 +144,11 @@ def duplicate_cells(spark, folder):
     return contracts.duplicate_keys(raw, ["region_zip", "period_begin", "period_end"])
 
 
+@query
 def wide_index_unpivot(spark, folder):
     return tidy.tidy_wide(bind.index_wide(spark, folder))
 
 
-# Means of price per unit often end exactly half way at six places.
-query(wide_index_unpivot, digits=7)
-
-
 @query
 def macro_monthly_pivot(spark, folder):
     return macro_months(spark, folder, fill=False)

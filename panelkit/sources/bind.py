@@ -178,14 +178,10 @@ def macro_observations(spark: SparkSession, folder: str) -> DataFrame:
 def metro_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per (region, metro): the metro of a line is its customer's nation.
 
-    Lines are folded to (order, supplier) before the join, so an order that
-    holds a large share of the lines is a few rows by then.
+    Lines are shuffled once, to their orders; an order or customer that holds a
+    large share of them is split by Spark, because its partner is a single row.
     """
-    lines = (
-        table(spark, folder, "lineitem")
-        .groupBy("l_orderkey", "l_suppkey")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey")
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("metro"))
     homes = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -198,7 +194,7 @@ def metro_rows(spark: SparkSession, folder: str) -> DataFrame:
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("l_suppkey", "metro")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .select(
             F.concat(F.lit("Zip Code: "), F.col("l_suppkey").cast("string")).alias("region_zip"),
             "metro",
