@@ -18,6 +18,8 @@ from panelkit.staging import stage
 
 # Rows of one group that a single task may hold (narrow rows, sorted, spillable).
 MAX_GROUP_ROWS = 1_000_000
+# Range bounds are sampled on the driver; beyond this, slices grow instead.
+MAX_SLICES = 10_000
 LIMIT_SETTING = "spark.panelkit.maxGroupRows"
 
 SLICE = "_slice"
@@ -63,7 +65,7 @@ def running_total(
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(*up_to_here)
         return df.withColumn(name, F.sum(weight).over(window).cast("bigint"))
 
-    slices = max(2, 2 * -(-total // max_group))
+    slices = min(MAX_SLICES, max(2, 2 * -(-total // max_group)))
     cut = stage(
         df.repartitionByRange(slices, *[F.col(c) for c in by], *order).withColumn(
             SLICE, F.spark_partition_id()

@@ -17,7 +17,7 @@ from panelkit.operators.tidy import (
     tidy_tracker,
 )
 from panelkit.sources import bind
-from panelkit.staging import stage, staged_path
+from panelkit.staging import exists, file_system, stage, staged_path
 
 
 # Splits, folds and snapshots select months: sorted files let them skip row groups.
@@ -81,12 +81,20 @@ _WRITTEN: dict[tuple, str] = {}
 
 
 def _inputs(spark: SparkSession, folder: str) -> tuple:
-    """Name, size and time of the input files, from the file system alone."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    listed = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
-    return tuple(
-        sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in listed)
-    )
+    """Name, time, bytes and file count of each input table, from the file system."""
+    system, path = file_system(spark, folder)
+    tables = []
+    for entry in system.listStatus(path):
+        size = system.getContentSummary(entry.getPath())
+        tables.append(
+            (
+                entry.getPath().toString(),
+                entry.getModificationTime(),
+                size.getLength(),
+                size.getFileCount(),
+            )
+        )
+    return tuple(sorted(tables))
 
 
 def written_once(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
@@ -96,7 +104,7 @@ def written_once(spark: SparkSession, folder: str, name: str, build) -> DataFram
     is written again whenever an input file changes.
     """
     key = (spark.sparkContext.applicationId, name, _inputs(spark, folder))
-    if key not in _WRITTEN:
+    if key not in _WRITTEN or not exists(spark, _WRITTEN[key]):
         _WRITTEN[key] = staged_path(build(spark, folder), name)
     return spark.read.parquet(_WRITTEN[key])
 

@@ -1,4 +1,8 @@
-"""Test tables in the roles of the three panel sources (see FIXTURES.md part 3)."""
+"""Test tables in the roles of the three panel sources (see FIXTURES.md part 3).
+
+The macro values are divided by 10,000 so that they look like rates, and the stub
+forecast reacts to the rate, so that a rate scenario changes the ranking.
+"""
 
 from __future__ import annotations
 

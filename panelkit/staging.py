@@ -40,6 +40,17 @@ def application_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/panelkit-{spark.sparkContext.applicationId}"
 
 
+def file_system(spark: SparkSession, location: str):
+    """(Hadoop file system, path) of a location."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, location: str) -> bool:
+    system, path = file_system(spark, location)
+    return system.exists(path)
+
+
 def staged_path(df: DataFrame, name: str = "table") -> str:
     """Write ``df`` into the shared folder and return its path."""
     path = f"{application_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
@@ -54,5 +65,5 @@ def stage(df: DataFrame, name: str = "table") -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Delete every table this application staged."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    system, path = file_system(spark, application_folder(spark))
+    system.delete(path, True)

@@ -194,5 +194,8 @@ def test_schema_contracts(spark):
     df = spark.createDataFrame([(1, "2024-01-01", "NA", "", "7")], "a int, b string, c string, d string, e string")
     with pytest.raises(ContractError):
         contracts.require_columns(df, ["a", "z"], "t")
+    assert contracts.discover_wide(["x", "RegionID", "2024-01-31"]) == ("RegionID", ["2024-01-31"])
+    with pytest.raises(ContractError):
+        contracts.discover_wide(["RegionName", "State"])
     labels = {r.column_name: r.type_label for r in contracts.column_types(df).collect()}
     assert labels == {"a": "int", "b": "date", "c": "str", "d": "null", "e": "int"}
