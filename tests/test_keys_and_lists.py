@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from panelkit.errors import ListFormatError
 from panelkit.functions.keys import geometry_key, leading_digits_key, list_key, trailing_digits_key

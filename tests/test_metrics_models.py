@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from panelkit.config import ModelParams, PanelParams
 from panelkit.errors import ContractError
 from panelkit.operators import attribution, explain, metrics, models, monitor, split
-from panelkit.operators.features import feature_columns
 from panelkit.plans import training
 from panelkit.staging import stage
 
