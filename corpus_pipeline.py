@@ -8,16 +8,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import exact_dedup
+from panelkit.llm import exact_dedup, langid, packing, secrets, simhash
 from panelkit.staging import stage
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the model rejects go. It learns from the documents it is given."""
+    return langid.drop_rejected(docs)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.drop_near_copies(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; what the scan finds is replaced in their texts."""
+    return secrets.redact(docs)
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("language_id", identify_language),
     ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("secret_scan", redact_secrets),
+    ("packing", pack_documents),
 ]
 
 ORACLE_SQL = None  # the models and fingerprints of the stages have no SQL form

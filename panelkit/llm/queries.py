@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelkit.llm import chat, exact_dedup, quality
+from panelkit.llm import chat, exact_dedup, langid, licenses, packing, pieces, quality, secrets, sharding, simhash
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,54 @@ def query(fn):
     return fn
 
 
+@query
+def op1_license_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+SQL["op1_license_sentence_rules"] = licenses.oracle_sql()
+
+
+@query
+def op2_nearest_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_optimal_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_n_best_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
+def _span_text(spans: Column) -> Column:
+    one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    return F.array_join(F.transform(spans, one), ",")
+
+
+@query
+def op5_secret_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of the findings; spans come ordered by start, then rule."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    kinds = [r.kind for r in secrets.BASE]
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in kinds],
+        F.sha2(_span_text(base), 256).alias("base_sha256"),
+        _span_text(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op6_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that quotes the template's own marks."""
@@ -64,6 +113,12 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+@query
+def op9_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = simhash.simhash_classes(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "fingerprint", "component_id")
+
+
 @query
 def op10_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
