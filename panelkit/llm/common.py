@@ -30,13 +30,24 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
-def add_row_key(docs: DataFrame) -> DataFrame:
-    """Adds two hash columns that name (doc_id, text), so that rows can be found again.
+def row_key(prefix: str = "") -> list[Column]:
+    """Two hashes that name (doc_id, text), so that rows can be found again.
 
     Rows with the same id and text share the key; NULL differs from empty.
     """
-    parts = [F.col("doc_id"), F.col("text"), F.col("doc_id").isNull(), F.col("text").isNull()]
-    return docs.withColumns({KEY[0]: F.xxhash64(*parts), KEY[1]: F.hash(*parts)})
+    doc_id, text = F.col(f"{prefix}doc_id"), F.col(f"{prefix}text")
+    parts = [doc_id, text, doc_id.isNull(), text.isNull()]
+    return [F.xxhash64(*parts).alias(KEY[0]), F.hash(*parts).alias(KEY[1])]
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the row key, whatever other columns there are."""
+    return docs.select("doc_id", "text", *row_key())
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """All columns as one struct, so that no name can clash with those of an operator."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
@@ -44,8 +55,9 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
     Both steps hash on the key, so the texts are shuffled once.
     """
-    found = add_row_key(docs).join(kept.select(*KEY), list(KEY), "left_semi")
-    return found.dropDuplicates(list(KEY)).select(*docs.columns)
+    keyed = whole_rows(docs).select("whole", *row_key("whole."))
+    found = keyed.join(kept.select(*KEY), list(KEY), "left_semi")
+    return found.dropDuplicates(list(KEY)).select("whole.*")
 
 
 def numbered(df: DataFrame, by: str, order: list[str], name: str, runs: int = 1024) -> DataFrame:

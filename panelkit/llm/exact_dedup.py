@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import KEY, WHITE, add_row_key, keep_rows
+from panelkit.llm.common import KEY, WHITE, keep_rows, keyed_texts
 from panelkit.staging import stage
 
 RUNS, FAN = 256, 16
@@ -79,4 +79,4 @@ def exact_classes(docs: DataFrame, carry: tuple[str, ...] = (), runs: int = RUNS
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, with the columns of the input."""
-    return keep_rows(docs, exact_classes(add_row_key(docs), KEY).filter("kept"))
+    return keep_rows(docs, exact_classes(keyed_texts(docs), KEY).filter("kept"))

@@ -27,12 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from panelkit.llm.common import whole_rows
+
 DIMS_LOG2 = 12
 CENTROIDS = 4
 PER_LANGUAGE, SAMPLE = 512, 2048
 ROUNDS = 12
-SLACK = 1.5  # a limit is this times the largest distance seen in training, up to FARTHEST
-FARTHEST = 0.9
+SLACK = 1.5  # a limit is this times the largest distance seen in training, up to FARTHEST,
+FARTHEST = 0.8  # plus SHORT by the root of the number of characters, as short texts lie farther
+SHORT = 1.0
 
 LETTER = re.compile(r"[^\W\d_]")
 KEEP = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -121,8 +124,8 @@ def fit(docs: DataFrame) -> Model:
     return Model(names, idf, np.concatenate(centres).astype(np.float32), np.array(limits))
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a struct column ``language``: lang_pred, score, distance, rejected."""
+def predictor(model: Model):
+    """Function of a text column: struct of lang_pred, score, distance, rejected."""
 
     @F.pandas_udf("lang_pred string, score double, distance double, rejected boolean")
     def nearest(texts: pd.Series) -> pd.DataFrame:
@@ -137,19 +140,22 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             best[some] = cosine.argmax(axis=1)
             score[some] = np.clip(cosine.max(axis=1), 0, 1)
         names = [model.languages[j] if ok else "und" for j, ok in zip(best, found)]
-        limit = np.array([model.limits[j] if ok else -1.0 for j, ok in zip(best, found)])
+        short = np.array([SHORT / np.sqrt(len(t)) if ok else 0.0 for t, ok in zip(texts, found)])
+        limit = np.array([model.limits[j] if ok else -1.0 for j, ok in zip(best, found)]) + short
         return pd.DataFrame(
             {"lang_pred": names, "score": score, "distance": 1 - score, "rejected": 1 - score > limit}
         )
 
-    return docs.withColumn("language", nearest("text"))
+    return nearest
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, distance, rejected."""
-    return predict(docs, fit(docs)).select("doc_id", held_out().alias("held_out"), "language.*")
+    found = predictor(fit(docs))("text").alias("found")
+    return docs.select("doc_id", held_out().alias("held_out"), found).select("doc_id", "held_out", "found.*")
 
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
     """The documents whose language is recognised, with the columns of the input."""
-    return predict(docs, fit(docs)).filter(~F.col("language.rejected")).select(*docs.columns)
+    found = predictor(fit(docs))("whole.text").alias("found")
+    return whole_rows(docs).select("whole", found).filter(~F.col("found.rejected")).select("whole.*")

@@ -25,7 +25,7 @@ from panelkit.llm.common import let, words_of
 
 BUCKETS = 1 << 14
 TRUSTED = 4096
-SMOOTHING = 1.0
+SMOOTHING = 10.0  # pseudo counts of a bucket, on the scale of the trusted total on both sides
 PRIOR = 20
 THRESHOLD = -0.05
 WINDOW = 5
@@ -71,9 +71,8 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS, smoothing: float = SMO
     trusted, raw = (sum(r[i] for r in rows.values()) for i in (0, 1))
     if not trusted:
         return [0.0] * buckets
-    shift = math.log(raw + smoothing * buckets) - math.log(trusted + smoothing * buckets)
     pairs = (rows.get(b, (0, 0)) for b in range(buckets))
-    return [math.log(t + smoothing) - math.log(r + smoothing) + shift for t, r in pairs]
+    return [math.log(t + smoothing) - math.log(r * trusted / raw + smoothing) for t, r in pairs]
 
 
 def table_literal(weights: list[float]) -> Column:

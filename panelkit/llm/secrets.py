@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import KEY, add_row_key
+from panelkit.llm.common import KEY, keyed_texts, row_key, whole_rows
 from panelkit.staging import exists, stage
 
 
@@ -86,8 +86,8 @@ def blob_of(text: Column) -> Column:
 
 def address(versions: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Narrow table of all paths and the address of what they hold."""
-    keyed = add_row_key(versions)
-    return stage(keyed.select("doc_id", blob_of(F.col("text")).alias("blob"), *KEY, *carry), "paths")
+    blob = blob_of(F.col("text")).alias("blob")
+    return stage(versions.select("doc_id", blob, *row_key(), *carry), "paths")
 
 
 def unseen(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -114,7 +114,7 @@ def scan(versions: DataFrame, todo: DataFrame, rules: tuple[Rule, ...] = RULES)
             made = [[dict(zip(("kind", "version", "start", "end"), s)) for s in found] for found in spans]
             yield pd.DataFrame({"blob": b["blob"], "rules": b["missing"], "spans": made})
 
-    texts = add_row_key(versions.select("doc_id", "text")).join(todo, list(KEY))
+    texts = keyed_texts(versions).join(todo, list(KEY))
     return texts.select("blob", "missing", "text").mapInPandas(run, LEDGER).dropDuplicates(["blob"])
 
 
@@ -181,12 +181,11 @@ def redacted(text: Column, spans: Column, mark: str) -> Column:
 def redact(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     """All documents, what was found replaced by ``mark`` and n_chars counted anew."""
     found = find_secrets(docs).select("blob", "spans").filter(F.size("spans") > 0).dropDuplicates(["blob"])
-    joined = docs.withColumn("_blob", blob_of(F.col("text"))).join(
-        found.withColumnsRenamed({"blob": "_blob", "spans": "_spans"}), "_blob", "left"
-    )
-    hit = F.col("_spans").isNotNull()
-    changed = joined.withColumn("text", F.when(hit, redacted(F.col("text"), F.col("_spans"), mark)).otherwise(F.col("text")))
+    addressed = whole_rows(docs).withColumn("blob", blob_of(F.col("whole.text")))
+    joined = addressed.join(found, "blob", "left")
+    text = redacted(F.col("whole.text"), F.col("spans"), mark)
+    whole = F.col("whole").withField("text", text)
     if "n_chars" in docs.columns:
-        count = F.length("text").cast(docs.schema["n_chars"].dataType)
-        changed = changed.withColumn("n_chars", F.when(hit, count).otherwise(F.col("n_chars")))
-    return changed.select(*docs.columns)
+        whole = whole.withField("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
+    changed = F.when(F.col("spans").isNotNull(), whole).otherwise(F.col("whole"))
+    return joined.select(changed.alias("whole")).select("whole.*")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import KEY, add_row_key, keep_rows
+from panelkit.llm.common import KEY, keep_rows, keyed_texts
 from panelkit.llm.components import connected
 from panelkit.staging import stage
 
@@ -68,12 +68,14 @@ def fingerprint(text: str | None, width: int = SHINGLE, seed: int = 42) -> int:
     return int(np.packbits(set_bits * 2 > total, bitorder="little").view("<u8")[0])
 
 
-def add_fingerprint(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp and ``carry`` of every document."""
+
     @F.pandas_udf("long")
     def prints(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
 
-    return docs.withColumn("fp", prints("text"))
+    return docs.select("doc_id", prints("text").alias("fp"), *carry)
 
 
 def pivots(count: int = PIVOTS) -> np.ndarray:
@@ -182,7 +184,7 @@ def links(prints: DataFrame, bands: int, limit: int = LIMIT, block: int = BLOCK)
 
 def simhash_classes(docs: DataFrame, carry: tuple[str, ...] = (), limit: int = LIMIT, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, fingerprint, component_id, root and ``carry``."""
-    marked = stage(add_fingerprint(docs).select("doc_id", "fp", *carry), "fingerprints")
+    marked = stage(fingerprints(docs, carry), "fingerprints")
     prints = stage(
         add_distances(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))), "distances"
     )
@@ -199,7 +201,7 @@ def simhash_classes(docs: DataFrame, carry: tuple[str, ...] = (), limit: int = L
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each component, that with the smallest doc_id."""
-    rows = simhash_classes(add_row_key(docs), KEY)
+    rows = simhash_classes(keyed_texts(docs), KEY)
     order = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id"), *KEY)
     first = rows.groupBy("root").agg(F.min(order).alias("f"))
     return keep_rows(docs, first.select(*[F.col(f"f.{k}").alias(k) for k in KEY]))
