@@ -1,6 +1,7 @@
 """License scans by sentence rules.
 
-A text is cut into sentences: at white space after ``. ! ? ; :`` and at blank lines. Each
+A text is cut into sentences: at white space after ``. ! ? ;``, at a line end after a
+colon, and at blank lines. Each
 sentence, and each line of a sentence that spans several, is normalised (lower case, all
 but a-z and 0-9 to single spaces) and looked up among the known license sentences. What is
 recognised gives the document's sequence of identifiers. Rules are ordered: the first rule
@@ -59,10 +60,9 @@ SENTENCES = {
         "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
         "disclaimer in the documentation and/or other materials provided with the distribution."
     ),
-    "gpl-free": "This program is free software:",
     "gpl-terms": (
-        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software "
-        "Foundation, either version 3 of the License, or (at your option) any later version."
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
     ),
     "gpl-warranty": (
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;"
@@ -70,8 +70,8 @@ SENTENCES = {
     "gpl-short": "This work is licensed under the GNU General Public License, version 3.",
     "cc-by-nc-short": "Licensed under CC BY-NC 4.0.",
     "cc-by-short": "Licensed under CC BY 4.0.",
-    "spdx-mit": "SPDX-License-Identifier:MIT",
-    "spdx-apache": "SPDX-License-Identifier:Apache-2.0",
+    "spdx-mit": "SPDX-License-Identifier: MIT",
+    "spdx-apache": "SPDX-License-Identifier: Apache-2.0",
 }
 # SPDX names and the sentences that must follow each other, first rule first.
 RULES = (
@@ -80,7 +80,7 @@ RULES = (
     ("MIT", ("mit-grant", "mit-notice", "mit-as-is")),
     ("MIT", ("mit-grant",)),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
-    ("GPL-3.0-or-later", ("gpl-free", "gpl-terms", "gpl-warranty")),
+    ("GPL-3.0-or-later", ("gpl-terms", "gpl-warranty")),
     ("GPL-3.0-or-later", ("gpl-terms",)),
     ("Apache-2.0", ("apache-short",)),
     ("MIT", ("mit-short",)),
@@ -92,6 +92,7 @@ RULES = (
 )
 # Every normalised sentence has one of these, see the tests.
 WORDS = ("licens", "permission", "software", "redistribution", "distribut")
+SENTENCE_END = "([.!?;])[\\x20\\x09-\\x0D]+|(:)[\\x20\\x09\\x0D]*\n[\\x20\\x09-\\x0D]*"
 
 
 def plain(sentence: str) -> str:
@@ -102,7 +103,7 @@ def known(sentences: dict[str, str] = SENTENCES) -> dict[str, str]:
     """identifier of every normalised sentence; a sentence with inner ends is cut as texts are."""
     out = {}
     for name, text in sentences.items():
-        parts = [p for p in (plain(x) for x in re.split(r"(?<=[.!?;:])\s+", text)) if p]
+        parts = [p for p in (plain(x) for x in re.split(r"(?<=[.!?;])\s+", text)) if p]
         if len(parts) == 1:
             out[parts[0]] = name
         else:
@@ -112,7 +113,7 @@ def known(sentences: dict[str, str] = SENTENCES) -> dict[str, str]:
 
 def sentences_of(text: Column) -> Column:
     """Normalised sentences and, after each that spans lines, its lines."""
-    ended = F.regexp_replace(text, "([.!?;:])[\\x20\\x09-\\x0D]+", "$1\u0001")
+    ended = F.regexp_replace(text, SENTENCE_END, "$1$2\u0001")
     units = F.split(ended, "\u0001|\n[\\x20\\x09-\\x0D]*\n")
 
     def with_lines(unit: Column) -> Column:
@@ -155,13 +156,11 @@ def oracle_sql() -> str:
     taken = "coalesce(string_agg('<' || name || '>', '' ORDER BY i, j) FILTER (name IS NOT NULL), '')"
     for spdx, parts in RULES:
         taken = f"replace({taken}, {quote(''.join(f'<{p}>' for p in parts))}, {quote(f'[{spdx}]')})"
+    ended = f"regexp_replace(coalesce(text, ''), '{SENTENCE_END}', '\\1\\2' || chr(1), 'g')"
+    cut = rf"string_split_regex({ended}, '\x01|\n[\x20\x09-\x0D]*\n')"
     return rf"""
 WITH known(sentence, name) AS (VALUES {values}),
-units AS (
-  SELECT doc_id, unnest(string_split_regex(regexp_replace(coalesce(text, ''), '([.!?;:])[\x20\x09-\x0D]+', '\1' || chr(1), 'g'),
-    '\x01|\n[\x20\x09-\x0D]*\n')) AS unit, generate_subscripts(string_split_regex(regexp_replace(coalesce(text, ''),
-    '([.!?;:])[\x20\x09-\x0D]+', '\1' || chr(1), 'g'), '\x01|\n[\x20\x09-\x0D]*\n'), 1) AS i
-  FROM documents),
+units AS (SELECT doc_id, unnest({cut}) AS unit, generate_subscripts({cut}, 1) AS i FROM documents),
 parts AS (
   SELECT doc_id, i, 0 AS j, unit AS s FROM units
   UNION ALL

@@ -135,7 +135,7 @@ def test_licenses(make, docs, no_docs):
     rows = make(
         [
             (1, "Some text.\n" + wrapped + " More text."),
-            (2, licenses.SENTENCES["mit-grant"] + " Other things. " + licenses.SENTENCES["apache-short"].upper()),
+            (2, licenses.SENTENCES["mit-grant"] + "\nOther things. " + licenses.SENTENCES["apache-short"].upper()),
             (3, "no terminator here\nReleased under the MIT License."),
             (4, "SPDX-License-Identifier: MIT"),
             (5, "The license of this software is unknown."),

@@ -79,7 +79,8 @@ def test_redaction_keeps_rows_columns_and_clean_texts(docs, texts, no_docs):
     assert secrets.redact(no_docs).count() == 0
 
 
-def test_query_digest(spark, folder):
+def test_query_digest(spark):
+    folder = "/root/testdata/sf0.01"
     rows = QUERIES["op5_secret_blob_ledger"](spark, folder).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     assert len(rows) == len(texts) and sum(r.n_assign for r in rows) > 0
