@@ -116,6 +116,13 @@ def apply_scenario(
     return features.withColumns({c: F.col(c) + F.lit(s) for c, s in totals.items()})
 
 
+def require_reach(features: DataFrame, shifts: Mapping[str, float]) -> None:
+    """A shift of a column without any value would change nothing: say so."""
+    for name in shifts:
+        if name in features.columns and features.filter(F.col(name).isNotNull()).isEmpty():
+            raise ContractError(f"no row has {name!r}, so a shift of it moves nothing")
+
+
 def scenario_grid(
     features: DataFrame, bps: Sequence[int], params: ModelParams = ModelParams()
 ) -> DataFrame:
@@ -227,7 +234,9 @@ def decide(
     leave out come as a DataFrame or, if few, with the controls.
     """
     universe = subset_universe(features, lookup, controls.metros)
-    shifted = apply_scenario(universe, scenario_shift(controls, params), params)
+    shifts = scenario_shift(controls, params)
+    require_reach(universe, shifts)
+    shifted = apply_scenario(universe, shifts, params)
     scored = stage(attach_metro(scorer(shifted), lookup), "scored")
     ranked = rank(scored, risk_lambda(controls, params), max_group=max_group)
     left_out = controls.exclude_zips if exclusions is None else exclusions

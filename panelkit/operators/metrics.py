@@ -24,11 +24,14 @@ def rank_correlation(
     right: str = "target",
     max_group: int | None = None,
 ) -> DataFrame:
-    """Spearman correlation per group from tie-averaged ranks.
+    """Spearman correlation per group from tie-averaged ranks of the complete pairs.
 
-    A side that is constant has no spread of ranks: the result is NULL.
+    A pair with a missing side is left out before anything is ranked. A side that is
+    constant has no spread of ranks, and a group without complete pairs has none at
+    all: the result is NULL.
     """
-    ranked = average_ranks(predictions, left, by, "_rl", max_group)
+    pairs = predictions.filter(F.col(left).isNotNull() & F.col(right).isNotNull())
+    ranked = average_ranks(pairs, left, by, "_rl", max_group)
     ranked = average_ranks(ranked, right, by, "_rr", max_group)
     spread = F.stddev_pop("_rl") * F.stddev_pop("_rr")
     return ranked.groupBy(*by).agg(

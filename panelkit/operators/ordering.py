@@ -18,8 +18,6 @@ from panelkit.staging import stage
 
 # Rows of one group that a single task may hold (narrow rows, sorted, spillable).
 MAX_GROUP_ROWS = 1_000_000
-# Range bounds are sampled on the driver; beyond this, slices grow instead.
-MAX_SLICES = 10_000
 LIMIT_SETTING = "spark.panelkit.maxGroupRows"
 
 SLICE = "_slice"
@@ -65,7 +63,7 @@ def running_total(
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(*up_to_here)
         return df.withColumn(name, F.sum(weight).over(window).cast("bigint"))
 
-    slices = min(MAX_SLICES, max(2, 2 * -(-total // max_group)))
+    slices = max(2, 2 * -(-total // max_group))
     cut = stage(
         df.repartitionByRange(slices, *[F.col(c) for c in by], *order).withColumn(
             SLICE, F.spark_partition_id()
@@ -109,22 +107,28 @@ def average_ranks(
     name: str,
     max_group: int | None = None,
 ) -> DataFrame:
-    """Tie-averaged rank of ``value`` within each group."""
+    """Tie-averaged rank of ``value`` within each group, the same at every size.
+
+    A missing value has no rank and does not count; a missing group key is a group.
+    """
     max_group = group_limit(df.sparkSession, max_group)
     _, largest = group_sizes(df, by, max_group)
     if largest <= max_group:
         ordered = Window.partitionBy(*by).orderBy(value)
         tied = Window.partitionBy(*by, value)
         rank = F.rank().over(ordered) + (F.count(F.lit(1)).over(tied) - 1) / F.lit(2.0)
-        return df.withColumn(name, rank.cast("double"))
+        missing = F.count_if(F.col(value).isNull()).over(Window.partitionBy(*by))
+        return df.withColumn(name, F.when(F.col(value).isNotNull(), (rank - missing).cast("double")))
     # Ties collapse before anything is ordered, so a value that a third of the
     # rows share is one row here. It meets those rows again in a join with one
     # row per value, where Spark splits a skewed left side.
-    values = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_ties"))
+    known = df.filter(F.col(value).isNotNull())
+    values = known.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_ties"))
     upto = running_total(
         stage(values, "values"), [F.col(value)], by, F.col("_ties"), "_upto", max_group
     )
     ranks = upto.select(
         *by, value, (F.col("_upto") - (F.col("_ties") - 1) / F.lit(2.0)).alias(name)
     )
-    return df.join(ranks, [*by, value], "left").select(*df.columns, name)
+    match = [df[k].eqNullSafe(ranks[k]) for k in by] + [df[value] == ranks[value]]
+    return df.join(ranks, match, "left").select(*[df[c] for c in df.columns], name)

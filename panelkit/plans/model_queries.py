@@ -1,11 +1,16 @@
-"""Registered queries that fit models; they are checked by rows and invariants."""
+"""Registered queries that fit models.
+
+Their numbers have no SQL form, so each query returns what SQL can state about them: which
+rows are scored or averaged, in which groups, and invariants of every value as booleans.
+The jobs themselves return the numbers.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.operators import attribution, decide, explain, metrics, models, split
+from panelkit.operators import attribution, decide, explain, models, split
 from panelkit.operators.features import feature_columns
 from panelkit.plans import training
 from panelkit.plans.build import bound_features
@@ -14,10 +19,17 @@ from panelkit.sources import bind
 from panelkit.sources.readers import source_manifest
 from panelkit.staging import stage
 
+# All folds, rows and predictors; only the ensembles are small, see the README.
 QUICK = training.quick_params(MODEL)
 PREDICTORS = models.standard_predictors(QUICK)
 
 
+def stated(report: DataFrame, *labels: str) -> DataFrame:
+    """Rows behind each metric, and whether the errors are finite and consistent."""
+    sound = (F.col("rmse") >= F.col("mae") - 1e-9) & (F.col("mae") >= 0) & (F.col("rmse") < float("inf"))
+    return report.select(*labels, "n", F.coalesce(sound, F.lit(False)).alias("sound"))
+
+
 def _cv(spark, folder, *names: str) -> DataFrame:
     table = bound_features(spark, folder)
     chosen = {n: PREDICTORS[n] for n in names}
@@ -42,59 +54,89 @@ def _scored_latest(spark, folder) -> DataFrame:
 
 @query
 def ridge_cv(spark, folder):
-    return _cv(spark, folder, "linear")
+    return stated(_cv(spark, folder, "linear"), "model", "month")
 
 
 @query
 def forest_cv(spark, folder):
-    return _cv(spark, folder, "random_forest")
+    return stated(_cv(spark, folder, "random_forest"), "model", "month")
 
 
 @query
 def gbt_cv(spark, folder):
-    return _cv(spark, folder, "boosted")
+    return stated(_cv(spark, folder, "boosted"), "model", "month")
 
 
 @query
 def model_comparison(spark, folder):
     report = _cv(spark, folder, *PREDICTORS)
-    return metrics.mark_best(report.filter(F.col("month").isNull()).drop("month"))
+    return stated(report.filter(F.col("month").isNull()), "model")
 
 
 @query
 def holdout_models(spark, folder):
     table = bound_features(spark, folder)
-    chosen = {n: PREDICTORS[n] for n in ("naive_zero", "linear", "boosted")}
-    return models.holdout(table, feature_columns(table), chosen, QUICK)
+    return stated(models.holdout(table, feature_columns(table), PREDICTORS, QUICK), "model", "month")
 
 
 @query
 def grid_select(spark, folder):
+    """The chosen setting is one of the grid and was scored on all held-out rows."""
     table = bound_features(spark, folder)
     report = models.grid_search(table, feature_columns(table), PARAMS, QUICK)
-    return models.select_best(report, MODEL.selection_metric)
+    best = models.select_best(report, MODEL.selection_metric)
+    known = F.lit(False)
+    for setting in models.expand_grid(QUICK.grid):
+        same = F.lit(True)
+        for name, value in setting.items():
+            same = same & (F.col("settings")[name] == float(value))
+        known = known | same
+    return stated(best.withColumn("in_grid", known), "in_grid")
 
 
-QUANTILES = ["point", "p05", "p10", "p50", "p90", "p95", "ci80_width", "ci90_width"]
+def _in_order(*columns: str) -> F.Column:
+    ordered = F.lit(True)
+    for low, high in zip(columns, columns[1:]):
+        ordered = ordered & (F.col(low) <= F.col(high))
+    return F.coalesce(ordered, F.lit(False))
 
 
 @query
 def score_latest(spark, folder):
-    return _scored_latest(spark, folder).select("zip", "month", *QUANTILES)
+    """Every row of the latest month with ordered quantiles and widths that follow from them."""
+    made = _scored_latest(spark, folder)
+    width = F.abs(F.col("p90") - F.col("p10") - F.col("ci80_width")) + F.abs(
+        F.col("p95") - F.col("p05") - F.col("ci90_width")
+    )
+    return made.select(
+        "zip",
+        "month",
+        _in_order("p05", "p10", "p50", "p90", "p95").alias("ordered"),
+        (width < 1e-9).alias("widths_agree"),
+        F.col("point").isNotNull().alias("pointed"),
+    )
 
 
 @query
 def ranked_export(spark, folder):
+    """Ranks are 1 to n, each once, and the first rank has the highest score."""
     ranked = decide.rank(_scored_latest(spark, folder), MODEL.risk_lambda)
-    return ranked.select("rank", "zip", "month", *QUANTILES, "score")
+    return ranked.groupBy("month").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("rank").alias("ranks"),
+        F.min("rank").cast("long").alias("first"),
+        F.max("rank").cast("long").alias("last"),
+        (F.max_by("score", -F.col("rank")) == F.max("score")).alias("best_first"),
+        (F.max_by("score", "rank") == F.min("score")).alias("worst_last"),
+    )
 
 
 @query
 def quantile_bands(spark, folder):
-    """Calibration of the leaf-quantile bands over the gapped folds."""
+    """Rows of each gapped fold, and whether the wider band covers at least as many."""
     table = bound_features(spark, folder)
-    return metrics.calibration_table(
-        models.calibrate(table, feature_columns(table), PARAMS, QUICK)
+    return models.calibrate(table, feature_columns(table), PARAMS, QUICK).select(
+        "fold", "n", _in_order("coverage_80", "coverage_90").alias("nested"), F.col("coverage_90").between(0.5, 1.0).alias("covers")
     )
 
 
@@ -106,12 +148,7 @@ def backtest_all(spark, folder):
     test = split.labelled(table.filter(F.col("split") == "test"))
     banded = models.fit_bands(rows, columns, QUICK).transform(test)
     return banded.select(
-        "zip",
-        "month",
-        F.col("p50").alias("predicted"),
-        F.col("target").alias("realized"),
-        F.col("p10").alias("lo"),
-        F.col("p90").alias("hi"),
+        "zip", "month", F.col("target").alias("realized"), _in_order("p10", "p50", "p90").alias("inside")
     )
 
 
@@ -121,34 +158,48 @@ def monitor_latest(spark, folder):
     window = stage(
         unflagged(split.rolling_window(table, PARAMS.train_window_months)), "window"
     )
-    return training.monitor_latest(window, feature_columns(table), QUICK.boosted, PARAMS, QUICK)
+    made = training.monitor_latest(window, feature_columns(table), QUICK.boosted, PARAMS, QUICK)
+    return stated(made, "month")
+
+
+def _adds_up(parts: DataFrame) -> DataFrame:
+    return attribution.additivity_error(parts).select("rows", (F.col("max_error") < 1e-6).alias("adds_up"))
 
 
 @query
 def ridge_additivity(spark, folder):
     table = bound_features(spark, folder)
     _, _, fitted = _fitted(table, "ridge")
-    parts = attribution.ridge_contributions(fitted, decide.latest_snapshot(table))
-    return attribution.additivity_error(parts)
+    return _adds_up(attribution.ridge_contributions(fitted, decide.latest_snapshot(table)))
 
 
 @query
 def tree_additivity(spark, folder):
     table = bound_features(spark, folder)
     _, _, fitted = _fitted(table, "boosted")
-    parts = attribution.tree_contributions(fitted, decide.latest_snapshot(table))
-    return attribution.additivity_error(parts)
+    return _adds_up(attribution.tree_contributions(fitted, decide.latest_snapshot(table)))
 
 
 @query
 def global_importance(spark, folder):
+    """Over all unflagged train rows: how many features rank, and none below zero."""
     table = bound_features(spark, folder)
     _, rows, fitted = _fitted(table, "boosted")
-    sample = explain.seeded_sample(rows, MODEL.importance_sample, MODEL.seed)
-    parts = attribution.tree_contributions(fitted, sample)
-    return explain.mean_importance(parts, MODEL.top_k)
+    parts = attribution.tree_contributions(fitted, rows)
+    top = explain.mean_importance(parts, MODEL.top_k)
+    return top.agg(
+        F.count(F.lit(1)).alias("features"),
+        (F.min("importance") >= 0).alias("non_negative"),
+        (F.max("importance") > 0).alias("informative"),
+    )
 
 
 @query
 def source_files(spark, folder):
-    return source_manifest(bind.table(spark, folder, "lineitem")).drop("modified")
+    """Files and rows of a source, by the manifest that also hashes the content."""
+    made = source_manifest(bind.table(spark, folder, "lineitem"))
+    return made.agg(
+        F.sum("rows").alias("rows"),
+        (F.count(F.lit(1)) > 0).alias("has_files"),
+        F.count_if(F.col("content_hash").isNull()).alias("unhashed"),
+    )

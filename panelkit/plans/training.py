@@ -163,10 +163,10 @@ def retrain(
 
 
 def quick_params(params: ModelParams = ModelParams()) -> ModelParams:
-    """The same jobs with small ensembles, for tests and the registered queries."""
+    """The same jobs over all folds with small ensembles, as registered; a tree is a
+    sequence of Spark jobs, so hundreds of trees take minutes a fit on any table."""
     return replace(
         params,
-        folds=3,
         grid={"maxDepth": (2, 3), "maxIter": (4,), "stepSize": (0.1, 0.3)},
         forest={
             "numTrees": 20,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.config import PanelParams
@@ -179,8 +179,8 @@ def macro_observations(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def metro_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per (region, metro): the metro of a line is its customer's nation.
+def metro_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(l_suppkey, metro) of every line: the metro of a line is its customer's nation.
 
     Lines are shuffled once, to their orders; an order or customer that holds a
     large share of them is split by Spark, because its partner is a single row.
@@ -195,16 +195,23 @@ def metro_rows(spark: SparkSession, folder: str) -> DataFrame:
         .join(homes, F.col("o_custkey") == F.col("c_custkey"))
         .select("o_orderkey", "metro")
     )
-    return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("l_suppkey", "metro")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            F.concat(F.lit("Zip Code: "), F.col("l_suppkey").cast("string")).alias("region_zip"),
-            "metro",
-            "n",
-        )
-    )
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("l_suppkey", "metro")
+
+
+def region_zip() -> Column:
+    return F.concat(F.lit("Zip Code: "), F.col("l_suppkey").cast("string")).alias("region_zip")
+
+
+def metro_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per (region, metro)."""
+    counted = metro_lines(spark, folder).groupBy("l_suppkey", "metro").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(region_zip(), "metro", "n")
+
+
+def tracker_with_metros(spark: SparkSession, folder: str) -> DataFrame:
+    """The tracker as it lands, with a row of another kind per line that names its metro."""
+    named = metro_lines(spark, folder).select(region_zip(), "metro", F.lit("line").alias("property_type"))
+    return tracker(spark, folder).unionByName(named, allowMissingColumns=True)
 
 
 def exclusion_values(spark: SparkSession, folder: str) -> DataFrame:

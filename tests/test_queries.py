@@ -3,9 +3,15 @@
 import pytest
 
 import __spark_entry__ as contract
+import panelkit.plans.landing_queries  # noqa: F401
+import panelkit.plans.model_queries  # noqa: F401
+from panelkit.plans import oracle as panel_oracle
+from panelkit.plans import queries as panel_queries
 from oracle_compare import connect, differences
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = panel_queries.QUERIES, panel_oracle.SQL
+# Nothing qualifies or nothing is wrong: no row is the right answer there.
+MAY_BE_EMPTY = set()
 
 
 @pytest.fixture(scope="module")
@@ -19,21 +25,16 @@ def test_rows_match_the_sql(spark, folder, duck, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert differences(df, duck, SQL[name]) is None
+    assert name in MAY_BE_EMPTY or not df.isEmpty()
 
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", ["ridge_additivity", "tree_additivity"])
-def test_contributions_add_up(spark, folder, name):
-    row = QUERIES[name](spark, folder).first()
-    assert row.rows > 0 and row.max_error < 1e-6
-
-
 @pytest.mark.parametrize(
     "name", ["tracker_dedup_latest", "rank_universe", "baseline_comparison", "peer_median",
-             "interval_coverage", "scenario_grid", "value_percentiles"])
+             "interval_coverage", "scenario_grid", "value_percentiles", "rank_corr_with_missing", "decide_full"])
 def test_large_group_path_gives_the_same_rows(spark, folder, duck, name):
     spark.conf.set("spark.panelkit.maxGroupRows", "20")
     try:
