@@ -1,18 +1,66 @@
-"""Connected components by alternating star contraction, as Spark joins.
+"""Connected components: forests of bounded chunks, then alternating star contraction.
 
-Every round points all larger neighbours of a node at its smallest neighbour, then all
-smaller ones, until the edges no longer change; each node then has one edge, to the
-smallest node of its component. Each round is written to the shared folder and the one
-before is deleted, so lineage stays short and a lost executor costs one round at most.
+Edges are cut into chunks of at most ``CHUNK`` edges; a task replaces each chunk by its
+spanning forest, every node with the smallest node of its component inside the chunk.
+While there is more than one chunk, a round of Spark joins points all larger neighbours of
+a node at its smallest neighbour, then all smaller ones, and the chunks are folded again,
+until the edges no longer change; each node then has one edge, to the smallest node of its
+component. Each round is written to the shared folder and the one before is deleted, so
+lineage stays short and a lost executor costs one round at most.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.staging import file_system, staged_path
 
+CHUNK = 250_000
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node) of every node that is not the smallest of its component."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = place[: len(a)], place[len(a) :]
+    label = np.arange(len(nodes))
+    while (label[left] != label[right]).any():
+        low = np.minimum(label[left], label[right])
+        np.minimum.at(label, label[left], low)
+        np.minimum.at(label, label[right], low)
+        label = label[label]
+    while (label != label[label]).any():
+        label = label[label]
+    found = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[found], nodes[label[found]]
+
+
+def _folded(edges: DataFrame, count: int) -> DataFrame:
+    """Forests of chunks; ``edges`` is a written table of ``count`` rows."""
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for rows in batches:
+            held.append(rows)
+            size += len(rows)
+            if size >= CHUNK:
+                both = pd.concat(held)
+                yield pd.DataFrame(dict(zip("ab", forest(both["a"].to_numpy(), both["b"].to_numpy()))))
+                held, size = [], 0
+        if held:
+            both = pd.concat(held)
+            yield pd.DataFrame(dict(zip("ab", forest(both["a"].to_numpy(), both["b"].to_numpy()))))
+
+    return edges.coalesce(chunks(count)).mapInPandas(fold, "a long, b long")
+
+
+def chunks(count: int) -> int:
+    return max(1, -(-count // CHUNK))
+
 
 def _star(edges: DataFrame) -> DataFrame:
     """Large star, then small star, over edges (a, b) with a > b."""
@@ -42,8 +90,9 @@ def connected(edges: DataFrame) -> DataFrame:
     path, table, mark = _written(spark, ordered.distinct())
     while True:
         older, before = path, mark
-        path, table, mark = _written(spark, _star(table))
+        alone = chunks(mark[0]) == 1
+        path, table, mark = _written(spark, _folded(table if alone else _star(table), before[0]))
         system, place = file_system(spark, older)
         system.delete(place, True)
-        if mark == before:
+        if alone or mark == before:
             return table.select(F.col("a").alias("node"), F.col("b").alias("root"))

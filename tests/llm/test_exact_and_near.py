@@ -133,7 +133,9 @@ def test_one_document_of_each_group_stays(make):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
-def test_components_of_a_path_and_a_star(spark):
+@pytest.mark.parametrize("chunk", [250_000, 40])
+def test_components_of_a_path_and_a_star(spark, monkeypatch, chunk):
+    monkeypatch.setattr(components, "CHUNK", chunk)
     path = [(i, i + 1) for i in range(60)]
     star = [(1000, 1000 + i) for i in range(1, 300)]
     edges = spark.createDataFrame(path + star + [(7, 7), (3, 2)], "a long, b long")
