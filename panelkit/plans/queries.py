@@ -34,6 +34,7 @@ from panelkit.plans.build import (
     bound_panel,
     macro_months,
     tidy_cells,
+    written_once,
 )
 from panelkit.sources import bind, lists
 from panelkit.staging import stage
@@ -82,9 +83,13 @@ def snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
-    """Stub predictions of the latest month, written once, with their metro."""
-    rows = bind.stub_predictions(snapshot(spark, folder))
-    return stage(decide.attach_metro(rows, bound_lookup(spark, folder)), "scored")
+    """Stub predictions of the latest month with their metro, written once per input state."""
+
+    def build(session: SparkSession, path: str) -> DataFrame:
+        rows = bind.stub_predictions(snapshot(session, path))
+        return decide.attach_metro(rows, bound_lookup(session, path))
+
+    return written_once(spark, folder, "scored", build)
 
 
 def decided(spark: SparkSession, folder: str, **changes) -> decide.Decision:
