@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
-CACHE = 1 << 18  # units a task remembers; only a matter of speed
+CACHE = 1 << 19  # units a task remembers; only a matter of speed
 NEVER = -1e8  # scores at or below mark pieces that the model does not mean to be chosen
 LONGEST = 48  # longer units are not remembered
+UNKNOWN = object()  # neither a piece nor the start of one
 UNIT = re.compile(r" *[^ \n]+|\n| +")
 
 EDIT = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("ids", pa.list_(pa.int32()))])
@@ -121,17 +122,16 @@ def first_and_gap(unit: str, vocabulary: Vocabulary) -> tuple[float, list[int],
     the forward scores are exact, the best of those is the second best segmentation. So
     the forward pass only keeps, for every position, the best arc and the runner-up.
     """
-    pieces, size = vocabulary.pieces, len(unit)
+    get, size = vocabulary.pieces.get, len(unit)
     worst = float("-inf")
     best, second, arc = [worst] * (size + 1), [worst] * (size + 1), [None] * (size + 1)
     best[0] = 0.0
     for a in range(size):
         reached = best[a]
         for b in range(a + 1, size + 1):
-            part = unit[a:b]
-            if part not in pieces:
+            piece = get(unit[a:b], UNKNOWN)
+            if piece is UNKNOWN:
                 break
-            piece = pieces[part]
             if piece is not None:
                 value = reached + piece[1]
                 if value > best[b]:
@@ -140,7 +140,7 @@ def first_and_gap(unit: str, vocabulary: Vocabulary) -> tuple[float, list[int],
                     arc[b] = (a, piece[0])
                 elif value > second[b]:
                     second[b] = value
-        if pieces.get(unit[a]) is None:
+        if get(unit[a]) is None:
             ids = [vocabulary.bytes[c] for c in unit[a].encode()]
             value = reached + vocabulary.byte_score * len(ids)
             if value > best[a + 1]:
@@ -200,26 +200,33 @@ def combine(units: list[tuple[int, int, list]], n: int) -> list[tuple[float, lis
     return out
 
 
-class Encoder:
-    """Encodes whole texts with one vocabulary; remembers a bounded number of units."""
+class Units(dict):
+    """ids of the best segmentation of a unit, its score and the loss of the second best.
 
-    def __init__(self, vocabulary: Vocabulary, n: int):
-        self.vocabulary, self.n, self.memory = vocabulary, n, {}
-        self.texts = vocabulary.texts()
+    Remembers a bounded number of units.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
 
-    def unit(self, unit: str) -> tuple[bytes, float, float]:
-        """ids of the best segmentation, its score and the loss of the second best."""
-        known = self.memory.get(unit)
-        if known is not None:
-            return known
+    def __missing__(self, unit: str) -> tuple[bytes, float, float]:
         score, ids, gap = first_and_gap(unit, self.vocabulary)
         made = (array("i", ids).tobytes(), score, gap)
         if len(unit) <= LONGEST:
-            if len(self.memory) >= CACHE:
-                self.memory.clear()
-            self.memory[unit] = made
+            if len(self) >= CACHE:
+                self.clear()
+            self[unit] = made
         return made
 
+
+class Encoder:
+    """Encodes whole texts with one vocabulary."""
+
+    def __init__(self, vocabulary: Vocabulary, n: int):
+        self.vocabulary, self.n, self.units = vocabulary, n, Units(vocabulary)
+        self.texts = vocabulary.texts()
+
     def changes(self, unit: str, best: bytes) -> list[tuple[float, bytes]]:
         """(loss, ids) of the segmentations of a unit after the best one."""
         found = [(score, array("i", ids).tobytes()) for score, ids in n_best(unit, self.vocabulary, self.n)]
@@ -230,8 +237,7 @@ class Encoder:
         if not text:
             return np.zeros(0, dtype=np.int32), [(0.0, [])]
         names = UNIT.findall(" " + text)
-        units = list(map(self.unit, names))
-        packed, scores, gaps = zip(*units)
+        packed, scores, gaps = zip(*map(self.units.__getitem__, names))
         ids = np.frombuffer(b"".join(packed), dtype=np.int32)
         score = sum(scores)
         few = np.argsort(np.array(gaps), kind="stable")[: self.n - 1]
