@@ -308,7 +308,7 @@ def concentration(display: DataFrame) -> DataFrame:
 def concentration_note(summary: DataFrame) -> DataFrame:
     """The warning as text, NULL where there is nothing to warn about."""
     text = F.format_string(
-        "Top zip takes %.1f%% of the budget and only %,d of %,d qualifying zips are funded.",
+        "Concentrated: %.1f%% of the budget goes to one zip; %,d of %,d qualifying zips get a share.",
         "top_share_pct",
         "funded",
         "qualified",

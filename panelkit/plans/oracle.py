@@ -417,7 +417,7 @@ SELECT round(fresh_rmse + 1e-9, 6) AS fresh_rmse, round(baseline_rmse + 1e-9, 6)
   fresh_rmse > 2 * baseline_rmse AS degraded, NOT fresh_rmse > 2 * baseline_rmse AS promote,
   CASE WHEN fresh_rmse > 2 * baseline_rmse THEN 3 ELSE 0 END AS exit_code,
   CASE WHEN fresh_rmse > 2 * baseline_rmse THEN printf(
-    'DEGRADATION ALERT: fresh RMSE %.4f exceeds 2.0x baseline %.4f. Not promoted.',
+    'The new model''s RMSE of %.4f is above 2.0 times the accepted %.4f. Not promoted.',
     fresh_rmse, baseline_rmse) END AS alert
 FROM e""")
 

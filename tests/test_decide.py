@@ -185,7 +185,7 @@ def test_concentration(spark):
         [(30.0, 300.0), (5.0, 50.0), (0.0, 0.0)], "share_pct double, allocation double")
     row = decide.concentration_note(decide.concentration(shown)).first()
     assert (row.funded, row.concentrated) == (2, True)
-    assert row.note == "Top zip takes 30.0% of the budget and only 2 of 3 qualifying zips are funded."
+    assert row.note == "Concentrated: 30.0% of the budget goes to one zip; 2 of 3 qualifying zips get a share."
     assert decide.concentration(shown.limit(0)).first().concentrated is False
 
 
