@@ -146,6 +146,7 @@ def links(prints: DataFrame, bands: int, limit: int = LIMIT, block: int = BLOCK)
     )
     cells = prints.select("fp", "distances", F.explode(facets).alias("c")).select("fp", "distances", "c.facet", "c.cell")
     large = cells.groupBy("facet", "cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
+    large = stage(large, "large_cells")  # mostly empty: with its size known, cells need no shuffle to meet it
     blocks = F.ceil(F.coalesce("n", F.lit(1)) * 2 / block)
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
