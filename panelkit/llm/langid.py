@@ -38,6 +38,10 @@ FARTHEST = 0.8  # plus SHORT by the root of the number of characters, as short t
 SHORT = 1.0
 
 LETTER = re.compile(r"[^\W\d_]")
+def has_letter(text: str | None) -> bool:
+    return text is not None and any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 KEEP = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
@@ -91,14 +95,19 @@ def held_out():
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, rows: int = SAMPLE) -> DataFrame:
     """lang and gram counts of the bounded training sample."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = usable.select("doc_id", "lang").withColumn("rank", F.row_number().over(order))
+    token = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+    order = Window.partitionBy("lang").orderBy("token", "doc_id")
+    # the smallest hashes lie below a share that is about twice what is wanted, so only few rows are ranked
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(rows)
+    below = counts.select("lang", (F.lit(float(1 << 31)) * (2 * per_language + 64) / F.col("n")).alias("below"))
+    near = usable.select("doc_id", "lang", token.alias("token")).join(F.broadcast(below), "lang").filter("token < below")
+    ranked = near.select("doc_id", "lang", F.row_number().over(order).alias("rank"))
     few = ranked.filter(F.col("rank") <= per_language).orderBy("rank", "lang", "doc_id").limit(rows)
     chosen = usable.select("doc_id", "lang", "text").join(F.broadcast(few.distinct()), ["doc_id", "lang"])
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b = b[[bool(LETTER.search(t)) for t in b["text"]]]
+            b = b[[has_letter(t) for t in b["text"]]]
             yield pd.DataFrame({"lang": b["lang"], "grams": [gram_counts(t).tobytes() for t in b["text"]]})
 
     return chosen.mapInPandas(grams, "lang string, grams binary").limit(rows)
@@ -129,7 +138,7 @@ def predictor(model: Model):
 
     @F.pandas_udf("lang_pred string, score double, distance double, rejected boolean")
     def nearest(texts: pd.Series) -> pd.DataFrame:
-        found = np.array([t is not None and bool(LETTER.search(t)) for t in texts], dtype=bool)
+        found = np.array([has_letter(t) for t in texts], dtype=bool)
         found &= len(model.languages) > 0
         score, best = np.zeros(len(texts)), np.zeros(len(texts), dtype=int)
         at = np.flatnonzero(found)
