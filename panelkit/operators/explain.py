@@ -125,8 +125,11 @@ def peer_medians(
     overall = grouped_percentiles(
         rows, ["feature"], {"all_median": ("value", 0.5)}, max_group=max_group
     )
+    # Zips without a metro share one key that matches nothing: they skip the join.
+    known = placed.filter(F.col("metro").isNotNull()).join(per_metro, ["metro", "feature"], "left")
+    unknown = placed.filter(F.col("metro").isNull()).withColumn("metro_median", F.lit(None).cast("double"))
     return (
-        placed.join(per_metro, ["metro", "feature"], "left")
+        known.unionByName(unknown)
         .join(overall, "feature", "left")
         .select(
             "zip",
