@@ -62,6 +62,7 @@ def wishes(linked: DataFrame, room: list[int]) -> DataFrame:
     open_ = counts.filter(F.get(number_list(room), F.col("shard")) > 0)
     best = open_.groupBy("group").agg(F.max("own").alias("best"))
     moving = counts.join(best, "group").filter("best > own").select("group", "shard", F.col("best.shard").alias("target"))
+    moving = stage(moving, "moving")  # a written side lets Spark split the other where a group is hot
     return linked.join(moving, ["group", "shard"]).select("row", "target")
 
 
@@ -96,7 +97,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
     rows = stage(measured(docs), "measured")
     total = rows.count()
-    groups = rows.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    groups = stage(rows.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "groups")
     linked = rows.join(groups, "group").select("row", "group")
     even = numbered(linked.withColumn("all", F.lit(0)), "all", ["row"], "place")
     begun = stage(even.select("row", "group", (F.col("place") % shards).cast("int").alias("shard")), "linked")
