@@ -128,7 +128,8 @@ def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULE
     place = lambda s: F.struct(s["start"], F.array_position(wanted, name(s)).alias("rank"), s.alias("span"))
     ordered = F.transform(F.sort_array(F.transform("spans", place)), lambda p: p["span"])
     spans = F.coalesce(F.col("found"), F.array().cast(f"array<{SPAN}>"))
-    return paths.join(whole.select("blob", ordered.alias("found")), "blob", "left").withColumn("spans", spans).drop("found")
+    whole = stage(whole.select("blob", ordered.alias("found")), "found")  # so that Spark can split a hot blob's paths
+    return paths.join(whole, "blob", "left").withColumn("spans", spans).drop("found")
 
 
 def empty_ledger(spark: SparkSession) -> DataFrame:
