@@ -56,12 +56,21 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", least=20, hints=("akia",)),
     Rule("hex", r"[0-9a-f]{24,}"),  # the maximal runs of 24 or more
 )
+# A private key from its header to its END line; where another header or the end of the text comes first, to the
+# end of the base64 lines, which may be quoted, commented or joined by escaped line ends.
+KEY_NAME = r"[A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+KEY_GAP = r"""(?:\\[nrt]|//[ \t]|[\s"'`,;>#*|+\\])"""
+KEY_BODY = (
+    rf"(?:[^-]|-(?!----(?:BEGIN |END {KEY_NAME})))*+-----END {KEY_NAME}"
+    rf"|(?:{KEY_GAP}++(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset):[^\n\\]*+)*+"
+    rf"(?:{KEY_GAP}++[A-Za-z0-9+/=]{{16,}}+)*+(?:{KEY_GAP}++[A-Za-z0-9+/=]++(?=[\s\"'\\,;]*(?:\n|\Z)))?+"
+)
 RULES = (
     *BASE,
     Rule("jwt", r"eyJ[\w-]{10,}\.eyJ[\w-]{10,}\.[\w-]{10,}", hints=("eyj",)),
     Rule("forge", r"gh[opsur]_[A-Za-z0-9]{36,}", hints=("gho_", "ghp_", "ghs_", "ghu_", "ghr_")),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", hints=("xox",)),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", hints=("-----begin",)),
+    Rule("pem", rf"-----BEGIN {KEY_NAME}(?:{KEY_BODY})", version=2, hints=("-----begin",)),
 )
 SPAN = "struct<kind:string,version:int,start:bigint,end:bigint>"
 LEDGER = f"blob binary, rules array<string>, spans array<{SPAN}>"

@@ -46,6 +46,41 @@ def test_added_rules_find_their_tokens(make):
     assert {s.kind for s in row.spans} >= {"forge", "chat", "pem", "jwt"}
 
 
+BODY = ["MIIEpAIBAAKCAQEA" + "q7Zx" * 12, "aB3+" * 12 + "/Qz9" * 4, "Wk2v" * 16, "uT8="]
+
+
+@pytest.mark.parametrize(
+    "key",
+    [
+        "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(BODY) + "\n-----END RSA PRIVATE KEY-----",
+        "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB12\n\n" + "\n".join(BODY) + "\n-----END RSA PRIVATE KEY-----",
+        "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB12\n\n" + "\n".join(BODY),
+        "-----BEGIN PRIVATE KEY-----\r\n" + "\r\n".join(BODY),
+        '"-----BEGIN PRIVATE KEY-----\\n' + "\\n".join(BODY) + '\\n-----END PRIVATE KEY-----\\n"',
+        "# -----BEGIN EC PRIVATE KEY-----\n# " + "\n# ".join(BODY),
+        "-----BEGIN PGP PRIVATE KEY BLOCK-----\n\n" + "\n".join(BODY) + "\n-----END PGP PRIVATE KEY BLOCK-----",
+        "-----BEGIN PRIVATE KEY-----\n" + "\n".join(BODY) + "\n-----BEGIN CERTIFICATE-----",
+    ],
+)
+def test_no_key_material_is_left(make, key):
+    text = f"before it\n{key}\nand some prose after it."
+    left = secrets.redact(make([(1, text)])).first().text
+    assert not any(line in left for line in BODY) and "AES" not in left
+    assert left.startswith("before it\n") and left.endswith("\nand some prose after it.") and "[REDACTED]" in left
+
+
+def test_a_quoted_key_header_takes_no_prose_along(make):
+    text = "A file begins with -----BEGIN PRIVATE KEY----- and this prose stays."
+    assert secrets.redact(make([(1, text)])).first().text == "A file begins with [REDACTED] and this prose stays."
+
+
+def test_a_new_rule_version_rescans_the_ledger(make, tmp_path):
+    path, old = str(tmp_path / "ledger"), secrets.Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----")
+    table = make([(1, "-----BEGIN PRIVATE KEY-----\n" + BODY[0])])
+    assert secrets.scan_with_ledger(table, path, (old,)).first().spans[0].end == 27
+    assert [s.end for s in secrets.scan_with_ledger(table, path).first().spans if s.kind == "pem"] == [28 + len(BODY[0])]
+
+
 def test_ledger_scans_only_what_is_new(make, tmp_path):
     path = str(tmp_path / "ledger")
     first = make([(1, "token=abcdefgh"), (2, "token=abcdefgh"), (3, "clean")])
