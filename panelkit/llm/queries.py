@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import chat, exact_dedup, langid, licenses, packing, pieces, quality, secrets, sharding, simhash
+from panelkit.llm import bpe, chat, exact_dedup, langid, licenses, packing, pieces, quality, secrets, sharding, simhash
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,15 @@ def op9_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_bitmap_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text and the bytes they decode to, as digests."""
+    made = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return made.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(bpe.decimal(F.col("ids")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
