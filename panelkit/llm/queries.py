@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bpe, chat, exact_dedup, langid, licenses, packing, pieces, quality, secrets, sharding, simhash
+from panelkit.llm import bpe, chat, exact_dedup, langid, lexical, licenses, packing, pieces, quality, secrets, sharding, simhash
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,12 @@ def op11_bitmap_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.decimal(F.col("ids")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op12_dual_tree_search"] = lexical.ORACLE
