@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bpe, chat, exact_dedup, langid, lexical, licenses, packing, pieces, quality, secrets, sharding, simhash
+from panelkit.llm import bpe, chat, collocations, exact_dedup, langid, lexical, licenses, packing, pieces, quality, secrets, sharding, simhash
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,12 @@ def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op12_dual_tree_search"] = lexical.ORACLE
+
+
+@query
+def op13_stripe_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_stripe_collocations"] = collocations.ORACLE

@@ -14,8 +14,10 @@ spark = (
     .config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", sys.argv[2]).getOrCreate()
 )
 import __spark_entry__ as contract
-for name in ("op2_nearest_centroid_language", "op4_n_best_pieces", "op5_secret_blob_ledger", "op9_pivot_simhash"):
+for name in ("op2_nearest_centroid_language", "op4_n_best_pieces", "op5_secret_blob_ledger", "op9_pivot_simhash", "op11_bitmap_rank_bpe"):
     assert contract.queries()[name](spark, "/root/testdata/sf0.001").count() == 200
+for name in ("op12_dual_tree_search", "op13_stripe_collocations"):
+    assert contract.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
 """
 
 
