@@ -74,9 +74,11 @@ class ModelParams:
     boosted: dict[str, float] = field(
         default_factory=lambda: {"maxIter": 400, "maxDepth": 6, "stepSize": 0.05}
     )
-    band_tree: dict[str, float] = field(
-        default_factory=lambda: {"maxDepth": 5, "minInstancesPerNode": 20}
+    leafwise: dict[str, float] = field(
+        default_factory=lambda: {"maxIter": 400, "maxLeaves": 63, "maxDepth": 12, "stepSize": 0.05, "minInstancesPerNode": 20, "l2": 0.0}
     )
+    band_trees: int = 200
+    band_least: int = 20
     ridge_alpha: float = 1.0
     selection_metric: str = "rank_corr"
     exclude_flags: tuple[str, ...] = ("low_volume", "target_outlier")

@@ -1,8 +1,8 @@
-"""Forecast models on Spark ML: naive, ridge, forest, boosted trees, bands.
+"""Forecast models: naive, ridge, forest, boosted trees, quantile bands.
 
 A predictor is ``fn(train, held, columns) -> held + prediction``; any callable
-of that form takes part in cross-validation and holdout. Preparation (median
-imputation, missing indicators) is fitted on the training rows only.
+of that form takes part in cross-validation and holdout. One that also has ``over_folds``
+fits all folds at once. Medians and cut points come from the training rows only.
 """
 
 from __future__ import annotations
@@ -13,74 +13,21 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    LinearRegression,
-    RandomForestRegressor,
-)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.config import ModelParams, PanelParams
 from panelkit.errors import ContractError, PanelError
 from panelkit.functions.numbers import quantile_label
-from panelkit.operators import metrics
-from panelkit.operators.quantiles import grouped_percentiles
-from panelkit.operators.split import Fold, drop_flagged, require_filled_folds, rolling_folds
+from panelkit.operators import boosting, metrics, ridge
+from panelkit.operators.boosting import KEPT, TreeModel
+from panelkit.operators.ridge import RidgeModel
+from panelkit.operators.split import Fold, assign_folds, drop_flagged, require_filled_folds, rolling_folds
+from panelkit.operators.trees import TreeSettings
 from panelkit.staging import stage
 
 Predictor = Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]
 
-KEPT = ("zip", "month", "target")
-IMPUTED, INDICATOR = "_imputed_", "_missing_"
-
-
-# --- preparation ----------------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class Prepared:
-    """Fitted preparation and the feature behind each vector slot."""
-
-    model: PipelineModel
-    slots: tuple[str, ...]
-
-    def apply(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(df)
-
-
-def fit_preparation(
-    train: DataFrame, columns: Sequence[str], indicators: bool = True
-) -> Prepared:
-    """Median imputation, missing indicators and the feature vector.
-
-    Columns without any value in the training rows are left out. The medians are
-    Spark's mergeable quantile summaries, so any number of rows is fine.
-    """
-    filled = train.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in columns])
-    row = filled.first()
-    usable = [c for c in columns if row[c] > 0]
-    if not usable:
-        raise ContractError("no feature column has a value in the training rows")
-    gappy = [c for c in usable if row[c] < row["_n"]] if indicators else []
-    stages = []
-    if gappy:
-        made = ", ".join(f"CAST(`{c}` IS NULL AS DOUBLE) AS `{INDICATOR}{c}`" for c in gappy)
-        stages.append(SQLTransformer(statement=f"SELECT *, {made} FROM __THIS__"))
-    imputed = [IMPUTED + c for c in usable]
-    stages.append(
-        Imputer(strategy="median", inputCols=usable, outputCols=imputed, relativeError=0.0001)
-    )
-    stages.append(
-        VectorAssembler(
-            inputCols=[*imputed, *[INDICATOR + c for c in gappy]], outputCol="features"
-        )
-    )
-    return Prepared(Pipeline(stages=stages).fit(train), (*usable, *gappy))
-
 
 # --- single models --------------------------------------------------------------
 
@@ -93,84 +40,71 @@ def predict_momentum(train: DataFrame, held: DataFrame, columns: Sequence[str])
     return held.withColumn("prediction", F.coalesce("price_mom_3m", F.lit(0.0)))
 
 
-def ridge_estimator(train: DataFrame, alpha: float) -> LinearRegression:
-    """Ridge with penalty ``alpha`` on standardised features.
-
-    Spark divides the penalty by the spread of the label and works on the mean
-    squared error, hence alpha x sd(label) / n.
-    """
-    row = train.agg(F.stddev_pop("target").alias("sd"), F.count("target").alias("n")).first()
-    return LinearRegression(
-        labelCol="target",
-        solver="normal",
-        elasticNetParam=0.0,
-        regParam=alpha * (row["sd"] or 0.0) / max(row["n"], 1),
-    )
+def tree_settings(kind: str, settings: Mapping[str, float]) -> TreeSettings:
+    """Settings of a boosted or forest model by their public names."""
+    least = float(settings.get("minInstancesPerNode", 1))
+    depth = int(settings["maxDepth"])
+    if kind == "forest":
+        return TreeSettings(
+            rounds=int(settings["numTrees"]), depth=depth, least=least, l2=0.0, averaged=True,
+            share=float(settings["subsamplingRate"]), impute=True,
+        )
+    leaves = settings.get("maxLeaves")
+    return TreeSettings(
+        rounds=int(settings["maxIter"]), depth=depth, step=float(settings["stepSize"]), least=least,
+        l2=float(settings.get("l2", 1.0)), leaves=int(leaves) if leaves else None,
+    )
 
 
-def boosted_estimator(settings: Mapping[str, float], seed: int) -> GBTRegressor:
-    return GBTRegressor(labelCol="target", lossType="squared", seed=seed, **settings)
+def fit_model(
+    train: DataFrame, columns: Sequence[str], kind: str, settings: Mapping, seed: int
+) -> RidgeModel | TreeModel:
+    """Fit one of: ridge, forest, boosted."""
+    if kind == "ridge":
+        return ridge.fit_ridge(train, columns, settings["alpha"])
+    if kind not in ("forest", "boosted"):
+        raise PanelError(f"unknown model kind {kind!r}")
+    return boosting.fit_trees(train, columns, [tree_settings(kind, settings)], seed)[0]
 
 
-def forest_estimator(settings: Mapping[str, float], seed: int) -> RandomForestRegressor:
-    return RandomForestRegressor(labelCol="target", seed=seed, **settings)
+def load_model(spark: SparkSession, path: str) -> TreeModel:
+    return TreeModel.load(spark, path)
 
 
 @dataclass(frozen=True)
-class FittedModel:
-    """Preparation plus regressor; ``transform`` adds ``prediction``."""
+class ModelPredictor:
+    """A kind of model with its settings."""
 
-    prepared: Prepared
-    regressor: object
+    kind: str
+    settings: Mapping
+    seed: int
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.regressor.transform(self.prepared.apply(df))
-
-    def save(self, path: str) -> None:
-        stages = [*self.prepared.model.stages, self.regressor]
-        PipelineModel(stages=stages).write().overwrite().save(f"{path}/model")
-        spark = SparkSession.active()
-        slots = [(i, s) for i, s in enumerate(self.prepared.slots)]
-        spark.createDataFrame(slots, "slot int, feature string").write.mode("overwrite").parquet(
-            f"{path}/slots"
-        )
+    def __call__(self, train: DataFrame, held: DataFrame, columns: Sequence[str]) -> DataFrame:
+        return fit_model(train, columns, self.kind, self.settings, self.seed).transform(held)
 
-    @staticmethod
-    def load(spark: SparkSession, path: str) -> "FittedModel":
-        whole = PipelineModel.load(f"{path}/model")
-        # As many rows as the model has inputs.
-        slots = spark.read.parquet(f"{path}/slots").orderBy("slot").collect()
-        prepared = Prepared(
-            PipelineModel(stages=whole.stages[:-1]), tuple(r["feature"] for r in slots)
-        )
-        return FittedModel(prepared, whole.stages[-1])
+    def over_folds(self, rows: DataFrame, columns: Sequence[str], folds: Sequence[Fold]) -> DataFrame:
+        """fold, zip, month, target, prediction of every held-out row.
 
+        ``rows`` are unflagged rows of the train split. All folds are fitted at once.
+        """
+        assigned = assign_folds(rows, folds)
+        if self.kind != "ridge":
+            made = boosting.held_out_predictions(
+                fold_samples(assigned), columns, [tree_settings(self.kind, self.settings)], seed=self.seed
+            )
+            return made.select(F.col("sample").alias("fold"), *KEPT, "prediction")
+        fitted = ridge.fit_folds(rows, assigned, columns, folds, self.settings["alpha"])
+        value = F.coalesce(*[F.when(F.col("fold") == i, m.value()) for i, m in fitted.items()])
+        return assigned.where("role = 'val'").select("fold", *KEPT, value.alias("prediction"))
 
-def fit_model(
-    train: DataFrame, columns: Sequence[str], kind: str, settings: Mapping, seed: int
-) -> FittedModel:
-    """Fit one of: ridge, forest, boosted."""
-    prepared = fit_preparation(train, columns, indicators=kind == "boosted")
-    matrix = prepared.apply(train).select("features", "target").persist()
-    try:
-        if kind == "ridge":
-            estimator = ridge_estimator(matrix, settings["alpha"])
-        elif kind == "forest":
-            estimator = forest_estimator(settings, seed)
-        elif kind == "boosted":
-            estimator = boosted_estimator(settings, seed)
-        else:
-            raise PanelError(f"unknown model kind {kind!r}")
-        return FittedModel(prepared, estimator.fit(matrix))
-    finally:
-        matrix.unpersist()
 
+def fold_samples(assigned: DataFrame) -> DataFrame:
+    """Rows with their folds as training samples."""
+    return assigned.withColumns({"sample": F.col("fold"), "train": F.col("role") == "train"})
 
-def predictor(kind: str, settings: Mapping, seed: int) -> Predictor:
-    def run(train: DataFrame, held: DataFrame, columns: Sequence[str]) -> DataFrame:
-        return fit_model(train, columns, kind, settings, seed).transform(held)
 
-    return run
+def predictor(kind: str, settings: Mapping, seed: int) -> ModelPredictor:
+    return ModelPredictor(kind, settings, seed)
 
 
 def standard_predictors(params: ModelParams = ModelParams()) -> dict[str, Predictor]:
@@ -180,6 +114,7 @@ def standard_predictors(params: ModelParams = ModelParams()) -> dict[str, Predic
         "naive_momentum": predict_momentum,
         "linear": predictor("ridge", {"alpha": params.ridge_alpha}, params.seed),
         "random_forest": predictor("forest", params.forest, params.seed),
+        "leafwise": predictor("boosted", params.leafwise, params.seed),
         "boosted": predictor("boosted", params.boosted, params.seed),
     }
 
@@ -224,13 +159,20 @@ def cv_predictions(
 ) -> DataFrame:
     """Held-out predictions of every model and fold: one written table."""
     pairs = [(f, *fold_pair(features, f, params.exclude_flags)) for f in folds]
+    rows = drop_flagged(features.filter(F.col("split") == "train"), params.exclude_flags)
+
+    def named(name: str, made: DataFrame) -> DataFrame:
+        return made.select(F.lit(name).alias("model"), "fold", *KEPT, "prediction")
 
     def job(name: str, fn: Predictor, fold: Fold, train: DataFrame, held: DataFrame):
-        return lambda: fn(train, held, columns).select(
-            F.lit(name).alias("model"), F.lit(fold.fold).alias("fold"), *KEPT, "prediction"
-        )
+        return lambda: named(name, fn(train, held.withColumn("fold", F.lit(fold.fold)), columns))
 
-    jobs = [job(n, fn, f, t, h) for n, fn in predictors.items() for f, t, h in pairs]
+    jobs = []
+    for name, fn in predictors.items():
+        if hasattr(fn, "over_folds"):
+            jobs.append(lambda name=name, fn=fn: named(name, fn.over_folds(rows, columns, folds)))
+        else:
+            jobs += [job(name, fn, f, t, h) for f, t, h in pairs]
     return stage(_union(run_parallel(jobs, parallelism)), "cv_predictions")
 
 
@@ -293,37 +235,26 @@ def grid_search(
     columns: Sequence[str],
     panel_params: PanelParams = PanelParams(),
     params: ModelParams = ModelParams(),
-    parallelism: int = 4,
 ) -> DataFrame:
     """Pooled metrics of every boosted-tree setting over the gapped folds.
 
-    The matrix of a fold is prepared and kept once for all settings.
+    All settings and folds are one fit; settings that only differ in their number of
+    trees are read off the same ensemble.
     """
-    spark = features.sparkSession
     folds = rolling_folds(features, panel_params, params.folds)
-    settings = expand_grid(params.grid)
-    parts = []
-    for fold in folds:
-        train, held = fold_pair(features, fold, params.exclude_flags)
-        prepared = fit_preparation(train, columns)
-        matrix = prepared.apply(train).select("features", "target").persist()
-        held = prepared.apply(held).select(*KEPT, "features")
-
-        def job(i: int, setting: Mapping, matrix=matrix, held=held):
-            def run() -> DataFrame:
-                model = boosted_estimator(setting, params.seed).fit(matrix)
-                return model.transform(held).select(
-                    F.lit(i).alias("grid_pos"), *KEPT, "prediction"
-                )
-
-            return run
-
-        parts += run_parallel([job(i, s) for i, s in enumerate(settings)], parallelism)
-        matrix.unpersist()
-    rows = stage(_union(parts), "grid_predictions")
-    report = metrics.metrics_report(rows, ["grid_pos"]).filter(F.col("month").isNull())
-    table = grid_table(spark, params.grid)
-    return report.drop("month").join(table, "grid_pos")
+    rows = drop_flagged(features.filter(F.col("split") == "train"), params.exclude_flags)
+    distinct: dict[tuple, list[tuple[int, int]]] = {}
+    for i, setting in enumerate(expand_grid(params.grid)):
+        rest = tuple(sorted((k, v) for k, v in setting.items() if k != "maxIter"))
+        distinct.setdefault(rest, []).append((int(setting["maxIter"]), i))
+    fits = [tree_settings("boosted", dict(rest) | {"maxIter": max(own)[0]}) for rest, own in distinct.items()]
+    marks = [sorted({n for n, _ in own}) for own in distinct.values()]
+    made = boosting.held_out_predictions(fold_samples(assign_folds(rows, folds)), columns, fits, marks, params.seed)
+    places = [(k, n, i) for k, own in enumerate(distinct.values()) for n, i in own]
+    spark = features.sparkSession
+    placed = made.join(F.broadcast(spark.createDataFrame(places, "setting int, rounds int, grid_pos int")), ["setting", "rounds"])
+    report = metrics.metrics_report(placed, ["grid_pos"]).filter(F.col("month").isNull())
+    return report.drop("month").join(grid_table(spark, params.grid), "grid_pos")
 
 
 # --- bands ----------------------------------------------------------------------
@@ -351,66 +282,56 @@ def monotone_quantiles(
 
 @dataclass(frozen=True)
 class BandModel:
-    """Tree that groups similar rows, and the target quantiles of each leaf."""
+    """One ensemble per quantile level."""
 
-    prepared: Prepared
-    tree: object
-    leaves: DataFrame
+    models: tuple[TreeModel, ...]
     levels: tuple[float, ...]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Add p05..p95, sorted, and the band widths.
-
-        The leaf table has at most 2^maxDepth rows, which the tree depth bounds.
-        """
-        placed = self.tree.transform(self.prepared.apply(df)).select(*df.columns, "leaf")
-        labels = [quantile_label(q) for q in self.levels]
-        table = self.leaves.select("leaf", F.array(*labels).alias("_q"))
-        joined = placed.join(F.broadcast(table), "leaf", "left").drop("leaf")
-        return monotone_quantiles(joined, "_q", self.levels)
+        """Add p05..p95, sorted, and the band widths."""
+        return monotone_quantiles(df.withColumn("_q", boosting.ensemble_values(self.models)), "_q", self.levels)
 
     def save(self, path: str) -> None:
-        FittedModel(self.prepared, self.tree).save(path)
-        self.leaves.write.mode("overwrite").parquet(f"{path}/leaves")
+        boosting.save_models(self.models, path)
 
     @staticmethod
     def load(
         spark: SparkSession, path: str, levels: tuple[float, ...] = ModelParams.quantiles
     ) -> "BandModel":
-        fitted = FittedModel.load(spark, path)
-        leaves = spark.read.parquet(f"{path}/leaves")
-        return BandModel(fitted.prepared, fitted.regressor, leaves, levels)
+        return BandModel(tuple(boosting.load_models(spark, path)), tuple(levels))
+
+
+def band_settings(params: ModelParams, point: Mapping[str, float] | None = None) -> list[TreeSettings]:
+    """A pinball ensemble per level: depth and step of the point model, fewer trees."""
+    chosen = dict(point or params.boosted)
+    return [
+        TreeSettings(
+            rounds=params.band_trees, depth=int(chosen["maxDepth"]), step=float(chosen["stepSize"]),
+            least=float(params.band_least), quantile=q,
+        )
+        for q in params.quantiles
+    ]
 
 
 def fit_bands(
     train: DataFrame,
     columns: Sequence[str],
     params: ModelParams = ModelParams(),
+    point: Mapping[str, float] | None = None,
     max_group: int | None = None,
 ) -> BandModel:
-    """Leaf-quantile bands: one tree, then exact target quantiles per leaf.
+    """Boosting on the pinball loss, all levels in one fit.
 
-    A leaf holds a share of all training rows, so its quantiles come from the
-    percentile operator that splits large groups.
+    Trees are grown on its gradients; a leaf moves its rows by the percentile of
+    their residuals.
     """
-    prepared = fit_preparation(train, columns)
-    rows = prepared.apply(train).select("features", "target")
-    estimator = DecisionTreeRegressor(
-        labelCol="target", leafCol="leaf", seed=params.seed, **params.band_tree
-    )
-    tree = estimator.fit(rows)
-    placed = stage(tree.transform(rows).select("leaf", "target"), "leaf_rows")
-    named = {quantile_label(q): ("target", q) for q in params.quantiles}
-    leaves = stage(grouped_percentiles(placed, ["leaf"], named, max_group=max_group), "leaves")
-    return BandModel(prepared, tree, leaves, tuple(params.quantiles))
+    made = boosting.fit_trees(train, columns, band_settings(params, point), params.seed, max_group)
+    return BandModel(tuple(made), tuple(params.quantiles))
 
 
-def score(features: DataFrame, point: FittedModel, bands: BandModel) -> DataFrame:
+def score(features: DataFrame, point: RidgeModel | TreeModel, bands: BandModel) -> DataFrame:
     """Point forecast, sorted quantiles and widths; all input columns kept."""
-    pointed = point.transform(features).select(
-        *features.columns, F.col("prediction").alias("point")
-    )
-    return bands.transform(pointed)
+    return bands.transform(point.transform(features, "point"))
 
 
 def calibrate(
@@ -418,20 +339,25 @@ def calibrate(
     columns: Sequence[str],
     panel_params: PanelParams = PanelParams(),
     params: ModelParams = ModelParams(),
-    parallelism: int = 4,
+    point: Mapping[str, float] | None = None,
 ) -> DataFrame:
     """Coverage of freshly fitted bands on every gapped fold."""
+    return metrics.interval_coverage(fold_bands(features, columns, panel_params, params, point))
 
-    def job(fold: Fold):
-        def run() -> DataFrame:
-            train, held = fold_pair(features, fold, params.exclude_flags)
-            banded = fit_bands(train, columns, params).transform(held.select(*KEPT, *columns))
-            return banded.select(
-                F.lit(fold.fold).alias("fold"), *KEPT, "p05", "p10", "p90", "p95"
-            )
-
-        return run
 
+def fold_bands(
+    features: DataFrame,
+    columns: Sequence[str],
+    panel_params: PanelParams = PanelParams(),
+    params: ModelParams = ModelParams(),
+    point: Mapping[str, float] | None = None,
+) -> DataFrame:
+    """Held-out rows of every fold with their bands; all folds and levels are one fit."""
     folds = rolling_folds(features, panel_params, params.folds)
-    parts = run_parallel([job(f) for f in folds], parallelism)
-    return metrics.interval_coverage(stage(_union(parts), "bands"))
+    rows = drop_flagged(features.filter(F.col("split") == "train"), params.exclude_flags)
+    settings = band_settings(params, point)
+    made = boosting.held_out_predictions(fold_samples(assign_folds(rows, folds)), columns, settings, seed=params.seed)
+    levels = made.groupBy(F.col("sample").alias("fold"), *KEPT).pivot("setting", list(range(len(settings)))).agg(F.first("prediction"))
+    quantiles = F.array(*[F.col(str(i)) for i in range(len(settings))])
+    whole = levels.select("fold", *KEPT, quantiles.alias("_q"))
+    return stage(monotone_quantiles(whole, "_q", params.quantiles), "bands")

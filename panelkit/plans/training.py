@@ -19,7 +19,7 @@ from panelkit.sinks.runs import log_run, selected_settings
 from panelkit.sinks.tables import record_version
 from panelkit.staging import stage
 
-INTEGER_SETTINGS = {"maxDepth", "maxIter", "numTrees", "minInstancesPerNode", "maxBins"}
+INTEGER_SETTINGS = {"maxDepth", "maxIter", "maxLeaves", "numTrees", "minInstancesPerNode"}
 
 
 def typed_settings(settings: Mapping[str, float]) -> dict:
@@ -28,7 +28,7 @@ def typed_settings(settings: Mapping[str, float]) -> dict:
 
 class Trained(NamedTuple):
     settings: dict
-    point: models.FittedModel
+    point: models.TreeModel
     bands: models.BandModel
     report: DataFrame
 
@@ -37,18 +37,15 @@ def train(
     features: DataFrame,
     panel_params: PanelParams = PanelParams(),
     params: ModelParams = ModelParams(),
-    parallelism: int = 4,
 ) -> Trained:
     """Grid over the gapped folds, best by the selection metric, refit on train."""
     columns = feature_columns(features)
-    report = stage(
-        models.grid_search(features, columns, panel_params, params, parallelism), "grid"
-    )
+    report = stage(models.grid_search(features, columns, panel_params, params), "grid")
     best = models.select_best(report, params.selection_metric).first()
     settings = typed_settings(best["settings"])
     rows = drop_flagged(features.filter("split = 'train'"), params.exclude_flags)
     point = models.fit_model(rows, columns, "boosted", settings, params.seed)
-    return Trained(settings, point, models.fit_bands(rows, columns, params), report)
+    return Trained(settings, point, models.fit_bands(rows, columns, params, settings), report)
 
 
 def train_and_save(
@@ -136,7 +133,7 @@ def retrain(
     ).first()
 
     point = models.fit_model(window, columns, "boosted", settings, params.seed)
-    bands = models.fit_bands(window, columns, params)
+    bands = models.fit_bands(window, columns, params, settings)
     path = f"{root}/models/versions/{version}"
     point.save(f"{path}/point")
     bands.save(f"{path}/bands")
@@ -163,16 +160,12 @@ def retrain(
 
 
 def quick_params(params: ModelParams = ModelParams()) -> ModelParams:
-    """The same jobs over all folds with small ensembles, as registered; a tree is a
-    sequence of Spark jobs, so hundreds of trees take minutes a fit on any table."""
+    """The same jobs with small ensembles, for tests and trials."""
     return replace(
         params,
-        grid={"maxDepth": (2, 3), "maxIter": (4,), "stepSize": (0.1, 0.3)},
-        forest={
-            "numTrees": 20,
-            "maxDepth": 6,
-            "minInstancesPerNode": 20,
-            "subsamplingRate": 0.4,
-        },
+        grid={"maxDepth": (2, 3), "maxIter": (4, 8), "stepSize": (0.1, 0.3)},
+        forest={"numTrees": 20, "maxDepth": 6, "minInstancesPerNode": 20, "subsamplingRate": 0.4},
         boosted={"maxIter": 8, "maxDepth": 3, "stepSize": 0.2},
+        leafwise=dict(params.leafwise) | {"maxIter": 8, "maxLeaves": 9, "stepSize": 0.2},
+        band_trees=20,
     )
