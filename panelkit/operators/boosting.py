@@ -107,7 +107,9 @@ def node_rows(job: Job, sample: int, setting: int, number: int, tree: T.Tree) ->
     cuts, medians = job.cuts[sample]
     s = job.settings[setting]
     feature = np.array(tree.feature)
-    cut = np.array([cuts[f][b - 1] if f >= 0 else np.nan for f, b in zip(tree.feature, tree.bin)])
+    # a bin above the last cut point parts all values from the missing ones
+    edges = [np.append(c, np.inf) for c in cuts]
+    cut = np.array([edges[f][min(b, len(edges[f])) - 1] if f >= 0 else np.nan for f, b in zip(tree.feature, tree.bin)])
     missing = np.array(tree.missing_left)
     if s.impute:
         missing = np.array([f < 0 or not medians[f] > c for f, c in zip(tree.feature, cut)])
@@ -519,8 +521,14 @@ def fit_trees(
     rows: DataFrame, columns: Sequence[str], settings: Sequence[T.TreeSettings], seed: int = 0, max_group: int | None = None
 ) -> list["TreeModel"]:
     """One fitted ensemble per setting, on all rows that have a target."""
-    made = stage(_fit(whole_sample(rows), columns, settings, [()] * len(settings), seed, True, max_group), "trees")
-    return TreeModel.read(made, columns, len(settings))
+    return TreeModel.read(fit_nodes(whole_sample(rows), columns, settings, seed, max_group), columns, len(settings))
+
+
+def fit_nodes(
+    samples: DataFrame, columns: Sequence[str], settings: Sequence[T.TreeSettings], seed: int = 0, max_group: int | None = None
+) -> DataFrame:
+    """The trees of every sample and setting as rows (NODES), written."""
+    return stage(_fit(samples, columns, settings, [()] * len(settings), seed, True, max_group), "trees")
 
 
 # --- models ---------------------------------------------------------------------

@@ -313,6 +313,19 @@ def band_settings(params: ModelParams, point: Mapping[str, float] | None = None)
     ]
 
 
+def fit_scorer(
+    train: DataFrame, columns: Sequence[str], point: Mapping[str, float], params: ModelParams = ModelParams()
+) -> DataFrame:
+    """Point model and bands as one fit: their trees as rows, for ``scorer_of``."""
+    settings = [tree_settings("boosted", point), *band_settings(params, point)]
+    return boosting.fit_nodes(boosting.whole_sample(train), columns, settings, params.seed)
+
+
+def scorer_of(nodes: DataFrame, columns: Sequence[str], params: ModelParams = ModelParams()) -> tuple[TreeModel, BandModel]:
+    point, *bands = TreeModel.read(nodes, columns, 1 + len(params.quantiles))
+    return point, BandModel(tuple(bands), tuple(params.quantiles))
+
+
 def fit_bands(
     train: DataFrame,
     columns: Sequence[str],

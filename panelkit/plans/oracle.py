@@ -688,30 +688,77 @@ SELECT '{model}' AS model, month, count(*) AS n, true AS sound FROM held GROUP B
 UNION ALL SELECT '{model}', CAST(NULL AS DATE), count(*), true FROM held"""
 
 
-_MODELS = ("naive_zero", "naive_momentum", "linear", "random_forest", "boosted")
+_MODELS = ("naive_zero", "naive_momentum", "linear", "random_forest", "leafwise", "boosted")
 for _query, _model in (("ridge_cv", "linear"), ("forest_cv", "random_forest"), ("gbt_cv", "boosted")):
-    SQL[_query] = with_(FOLDS, _held(_model))
+    SQL[f"{_query}_rows"] = with_(FOLDS, _held(_model))
 _NAMES = "(VALUES " + ", ".join(f"('{m}')" for m in _MODELS) + ") AS m(model)"
-SQL["model_comparison"] = with_(
+SQL["model_comparison_rows"] = with_(
     FOLDS, f"SELECT model, count(*) AS n, true AS sound FROM held, {_NAMES} GROUP BY model")
-SQL["holdout_models"] = with_(FOLDS + ", tested AS (SELECT * FROM clean WHERE split = 'test')", f"""
+SQL["holdout_models_rows"] = with_(FOLDS + ", tested AS (SELECT * FROM clean WHERE split = 'test')", f"""
 SELECT model, month, count(*) AS n, true AS sound FROM tested, {_NAMES} GROUP BY model, month
 UNION ALL SELECT model, CAST(NULL AS DATE), count(*), true FROM tested, {_NAMES} GROUP BY model""")
-SQL["grid_select"] = with_(FOLDS, "SELECT true AS in_grid, count(*) AS n, true AS sound FROM held")
-SQL["score_latest"] = with_(
+SQL["grid_select_rows"] = with_(FOLDS, """
+SELECT (row_number() OVER (ORDER BY d, i, s) - 1)::INT AS grid_pos, d AS "maxDepth", i AS "maxIter", s AS "stepSize", n, true AS sound
+FROM (SELECT count(*) AS n FROM held), (SELECT unnest([3.0, 5.0, 7.0])::DOUBLE AS d),
+  (SELECT unnest([200.0, 400.0])::DOUBLE AS i), (SELECT unnest([0.03, 0.1])::DOUBLE AS s)""")
+SQL["selected_model_rows"] = with_(FOLDS, """
+SELECT 25 AS features, count(*)::DOUBLE AS least_cover, count(*)::DOUBLE AS most_cover, round(avg(target), 4) AS base
+FROM clean WHERE split = 'train' AND target IS NOT NULL""")
+SQL["score_latest_rows"] = with_(
     SNAPSHOT, "SELECT zip, month, true AS ordered, true AS widths_agree, true AS pointed FROM snap")
-SQL["ranked_export"] = with_(SNAPSHOT, """
+SQL["ranked_export_rows"] = with_(SNAPSHOT, """
 SELECT month, count(*) AS n, count(*) AS ranks, CAST(1 AS BIGINT) AS first, count(*) AS last,
   true AS best_first, true AS worst_last FROM snap GROUP BY month""")
-SQL["quantile_bands"] = with_(
-    FOLDS, "SELECT fold, count(*) AS n, true AS nested, true AS covers FROM held GROUP BY fold")
-SQL["backtest_all"] = with_(FEATURES, """
+SQL["decide_fitted_rows"] = with_(FEATURES, """
+SELECT count(*) AS evaluated, 2000000.0::DOUBLE AS budget, true AS adds_up FROM features
+WHERE month = (SELECT max(month) FROM features WHERE MORTGAGE30US IS NOT NULL) AND MORTGAGE30US IS NOT NULL""")
+SQL["quantile_bands_rows"] = with_(
+    FOLDS, "SELECT fold, count(*) AS n, CAST(0 AS BIGINT) AS crossed, true AS nested, true AS covers FROM held GROUP BY fold")
+SQL["backtest_all_rows"] = with_(FEATURES, """
 SELECT zip, month, round(target + 1e-9, 6) AS realized, true AS inside FROM features
 WHERE split = 'test' AND target IS NOT NULL""")
-SQL["monitor_latest"] = with_(FOLDS, """
+SQL["monitor_latest_rows"] = with_(FOLDS, """
 SELECT month, count(*) AS n, true AS sound FROM clean
 WHERE target IS NOT NULL AND month = (SELECT max(month) FROM clean WHERE target IS NOT NULL) GROUP BY month""")
 for _query in ("ridge_additivity", "tree_additivity"):
     SQL[_query] = with_(SNAPSHOT, "SELECT count(*) AS rows, true AS adds_up FROM snap")
-SQL["global_importance"] = "SELECT CAST(10 AS BIGINT) AS features, true AS non_negative, true AS informative"
-SQL["source_files"] = "SELECT count(*) AS rows, true AS has_files, CAST(0 AS BIGINT) AS unhashed FROM lineitem"
+SQL["global_importance_rows"] = "SELECT CAST(25 AS BIGINT) AS features, true AS non_negative, true AS informative"
+SQL["source_files_rows"] = "SELECT count(*) AS rows, true AS has_files, CAST(0 AS BIGINT) AS unhashed FROM lineitem"
+
+# --- models small enough for SQL --------------------------------------------------
+
+SQL["ridge_two_features"] = with_(FOLDS + """,
+m AS (
+  SELECT fold, count(*) AS n, avg(price_mom_3m) AS mx, avg(month_of_year) AS mz, avg(target) AS my,
+    stddev_pop(price_mom_3m) AS sx, stddev_pop(month_of_year) AS sz, corr(price_mom_3m, month_of_year) AS c,
+    covar_pop(price_mom_3m, target) AS cx, covar_pop(month_of_year, target) AS cz
+  FROM fitted WHERE price_mom_3m IS NOT NULL AND target IS NOT NULL GROUP BY fold),
+b AS (
+  SELECT *, ((n + 1) * (n * cx / sx) - n * c * (n * cz / sz)) / ((n + 1) ** 2 - (n * c) ** 2) / sx AS bx,
+    ((n + 1) * (n * cz / sz) - n * c * (n * cx / sx)) / ((n + 1) ** 2 - (n * c) ** 2) / sz AS bz
+  FROM m)""", """
+SELECT fold, round(my - bx * mx - bz * mz + 1e-9, 6) AS intercept, round(bx + 1e-9, 6) AS price_mom_3m,
+  round(bz + 1e-9, 6) AS month_of_year FROM b""")
+
+
+def _stump(base: str, gradient: str, value: str) -> str:
+    """Best cut of one feature by the gain in squared gradient sums, ties to the lowest."""
+    return with_(FOLDS + f""",
+t AS (SELECT fold, target AS y, month_of_year AS x FROM fitted WHERE target IS NOT NULL),
+b AS (SELECT fold, {base} AS base FROM t GROUP BY fold),
+g AS (SELECT fold, x, y - base AS rest, {gradient} AS g FROM t JOIN b USING (fold)),
+cut AS (SELECT DISTINCT fold, x AS cut FROM t),
+s AS (
+  SELECT fold, cut, count(*) FILTER (x <= cut) AS nl, count(*) FILTER (x > cut) AS nr,
+    sum(g) FILTER (x <= cut) AS gl, sum(g) FILTER (x > cut) AS gr, {value.format(side="x <= cut")} AS vl, {value.format(side="x > cut")} AS vr
+  FROM g JOIN cut USING (fold) GROUP BY fold, cut),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY fold ORDER BY gl * gl / (nl + 1) + gr * gr / (nr + 1) DESC, cut) AS k
+  FROM s WHERE nl > 0 AND nr > 0)""", """
+SELECT fold, round(base, 4) AS base, cut::DOUBLE AS cut, nl AS left_rows, nr AS right_rows, round(vl, 4) AS left_value,
+  round(vr, 4) AS right_value FROM best JOIN b USING (fold) WHERE k = 1""")
+
+
+SQL["stump_squared"] = _stump("avg(y)", "y - base", "sum(g) FILTER ({side}) / (count(*) FILTER ({side}) + 1)")
+SQL["stump_pinball"] = _stump(
+    "quantile_cont(y, 0.9)", "CASE WHEN y > base THEN 0.9 ELSE -0.1 END", "quantile_cont(rest, 0.9) FILTER ({side})")

@@ -20,6 +20,7 @@ from panelkit.operators import (
     features,
     geo,
     metrics,
+    models,
     monitor,
     panel,
     profile,
@@ -117,16 +118,18 @@ def fold_rows(spark: SparkSession, folder: str) -> DataFrame:
     return unflagged(split.assign_folds(table, folds))
 
 
-def naive_predictions(rows: DataFrame) -> DataFrame:
-    """Zero and momentum forecasts of every row, tagged by model."""
-    guesses = F.array(
-        F.struct(F.lit("naive_zero").alias("model"), F.lit(0.0).alias("prediction")),
-        F.struct(
-            F.lit("naive_momentum").alias("model"),
-            F.coalesce("price_mom_3m", F.lit(0.0)).alias("prediction"),
-        ),
-    )
-    return rows.select("zip", "month", "target", F.inline(guesses))
+NAIVE = {"naive_zero": models.predict_zero, "naive_momentum": models.predict_momentum}
+
+
+def naive_cv(spark: SparkSession, folder: str, *names: str) -> DataFrame:
+    table = bound_features(spark, folder)
+    chosen = {n: NAIVE[n] for n in names}
+    return models.cross_validate(table, features.feature_columns(table), chosen, PARAMS, MODEL)
+
+
+def naive_holdout(spark: SparkSession, folder: str) -> DataFrame:
+    table = bound_features(spark, folder)
+    return models.holdout(table, features.feature_columns(table), NAIVE, MODEL)
 
 
 # --- sources and tidy tables ----------------------------------------------------
@@ -297,41 +300,30 @@ def entity_history(spark, folder):
 # --- metrics --------------------------------------------------------------------
 
 
-def _fold_report(rows: DataFrame, prediction: F.Column) -> DataFrame:
-    held = rows.filter(F.col("role") == "val").select(
-        "zip", "month", "target", prediction.alias("prediction")
-    )
-    return metrics.metrics_report(stage(held, "predictions"))
-
-
 @query
 def baseline_zero_cv(spark, folder):
-    return _fold_report(fold_rows(spark, folder), F.lit(0.0))
+    return naive_cv(spark, folder, "naive_zero").drop("model")
 
 
 @query
 def baseline_momentum_cv(spark, folder):
-    return _fold_report(fold_rows(spark, folder), F.coalesce("price_mom_3m", F.lit(0.0)))
+    return naive_cv(spark, folder, "naive_momentum").drop("model")
 
 
 @query
 def baseline_comparison(spark, folder):
-    held = fold_rows(spark, folder).filter(F.col("role") == "val")
-    report = metrics.metrics_report(stage(naive_predictions(held), "predictions"), ["model"])
+    report = naive_cv(spark, folder, *NAIVE)
     return metrics.mark_best(report.filter(F.col("month").isNull()).drop("month"))
 
 
 @query
 def holdout_baselines(spark, folder):
-    test = unflagged(bound_features(spark, folder).filter(F.col("split") == "test"))
-    return metrics.metrics_report(stage(naive_predictions(test), "predictions"), ["model"])
+    return naive_holdout(spark, folder)
 
 
 @query
 def holdout_headline(spark, folder):
-    test = unflagged(bound_features(spark, folder).filter(F.col("split") == "test"))
-    report = metrics.metrics_report(stage(naive_predictions(test), "predictions"), ["model"])
-    pooled = report.filter(F.col("month").isNull())
+    pooled = naive_holdout(spark, folder).filter(F.col("month").isNull())
     return metrics.headline_delta(pooled, "naive_momentum", "naive_zero", "mae")
 
 
