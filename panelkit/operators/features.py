@@ -3,14 +3,82 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.config import NON_FEATURES, PanelParams
+from panelkit.config import NON_FEATURES, TRACKER_METRICS, PanelParams
 from panelkit.functions.calendar import at_month_offset
 from panelkit.functions.numbers import flag, pct_change, ratio
 from panelkit.operators.contracts import require_documented
+from panelkit.operators.tidy import low_volume_flag
+
+
+@dataclass(frozen=True)
+class Feature:
+    """A made column; its expression and its dictionary entry come from the same fields.
+
+    ``kind``: growth (against an earlier month), shift (difference to an earlier month),
+    ahead (growth until a later month), quotient (of two columns) or season.
+    """
+
+    name: str
+    kind: str
+    source: str
+    months: int = 0
+    by: str = ""
+
+    def column(self) -> Column:
+        now = F.col(self.source)
+        if self.kind == "quotient":
+            return ratio(self.source, self.by)
+        if self.kind == "season":
+            return F.month(self.source).cast("bigint")
+        if self.kind == "ahead":
+            return pct_change(at_month_offset(self.source, self.months), now)
+        before = at_month_offset(self.source, -self.months)
+        return pct_change(now, before) if self.kind == "growth" else now - before
+
+    def formula(self) -> str:
+        there = {
+            "growth": "{s}[t] / {s}[t-{m}] - 1",
+            "shift": "{s}[t] - {s}[t-{m}]",
+            "ahead": "{s}[t+{m}] / {s}[t] - 1",
+            "quotient": "{s}[t] / {b}[t]",
+            "season": "calendar number of {s}[t]",
+        }
+        return there[self.kind].format(s=self.source, m=self.months, b=self.by)
+
+    def meaning(self) -> str:
+        what = words(self.source)
+        there = {
+            "growth": "relative growth of {w} in {m} months",
+            "shift": "movement of {w} in {m} months",
+            "ahead": "label: growth of {w} in the coming {m} months; unknown for the last months",
+            "quotient": "{w} for each unit of {b}",
+            "season": "place in the year",
+        }
+        return there[self.kind].format(w=what, m=self.months, b=words(self.by))
+
+
+def words(name: str) -> str:
+    return name.replace("_", " ")
+
+
+def feature_list(params: PanelParams = PanelParams()) -> list[Feature]:
+    """The made columns in table order."""
+    out = [
+        Feature(f"{prefix}_mom_{k}m", "growth", source, k)
+        for source, prefix in (("median_sale_price", "price"), ("zhvi", "zhvi"))
+        for k in params.momentum_lags
+    ]
+    out.append(Feature("listings_to_sales", "quotient", "new_listings", by="homes_sold"))
+    out.append(Feature("inventory_chg_3m", "growth", "inventory", 3))
+    out += [Feature(name, "shift", s, 3) for s, name in params.macro_deltas.items() if s in params.macro_series]
+    out.append(Feature("month_of_year", "season", "month"))
+    out.append(Feature("target", "ahead", "median_sale_price", params.label_horizon_months))
+    return out
 
 
 def build_features(panel: DataFrame, params: PanelParams = PanelParams()) -> DataFrame:
@@ -19,22 +87,12 @@ def build_features(panel: DataFrame, params: PanelParams = PanelParams()) -> Dat
     All offsets sit in one select, so the plan has a single exchange on zip, a
     single sort and a single window operator however many lags are configured.
     """
-    lags = params.momentum_lags
-    made = {}
-    for source, prefix in (("median_sale_price", "price"), ("zhvi", "zhvi")):
-        for k in lags:
-            made[f"{prefix}_mom_{k}m"] = pct_change(source, at_month_offset(source, -k))
-    made["listings_to_sales"] = ratio("new_listings", "homes_sold")
-    made["inventory_chg_3m"] = pct_change("inventory", at_month_offset("inventory", -3))
-    for source, name in params.macro_deltas.items():
-        if source in params.macro_series:
-            made[name] = F.col(source) - at_month_offset(source, -3)
-    made["month_of_year"] = F.month("month").cast("bigint")
-    ahead = at_month_offset("median_sale_price", params.label_horizon_months)
-    made["target"] = pct_change(ahead, F.col("median_sale_price"))
-    return panel.withColumns(made).withColumn(
-        "target_outlier", flag(F.abs("target") > params.target_outlier_threshold)
-    )
+    made = {f.name: f.column() for f in feature_list(params)}
+    return panel.withColumns(made).withColumn("target_outlier", flag(outlier(params)))
+
+
+def outlier(params: PanelParams) -> Column:
+    return F.abs("target") > params.target_outlier_threshold
 
 
 def feature_columns(features: DataFrame) -> list[str]:
@@ -44,39 +102,23 @@ def feature_columns(features: DataFrame) -> list[str]:
 
 
 def column_dictionary(params: PanelParams = PanelParams()) -> dict[str, tuple[str, str]]:
-    """column -> (meaning, formula) for every column of the feature table."""
-    h = params.label_horizon_months
-    entries = {
-        "zip": ("panel key, five-character text", "digits of the tracker region"),
-        "month": ("panel key, first day of the month", "month in which the window ends"),
-        "median_sale_price": ("median price over the window", "level"),
-        "homes_sold": ("sales in the window", "level"),
-        "inventory": ("active listings", "level"),
-        "new_listings": ("listings added in the window", "level"),
-        "median_dom": ("median days on market", "level"),
-        "avg_sale_to_list": ("mean of sale price over list price", "level"),
-        "sold_above_list": ("share of sales above list price", "level"),
-        "price_drops": ("share of listings with a lowered price", "level"),
-        "low_volume": ("few sales; the row is kept", f"homes_sold < {params.low_volume_threshold}"),
-        "zhvi": ("home value index", "level"),
-        "listings_to_sales": ("supply against demand", "new_listings / homes_sold"),
-        "inventory_chg_3m": ("change of inventory over 3 months", "inventory / lag 3 - 1"),
-        "month_of_year": ("season, 1 to 12", "month(month)"),
-        "target": (f"price change over the next {h} months", f"price at +{h} / price - 1"),
-        "target_outlier": (
-            "implausibly large label; the row is kept",
-            f"|target| > {params.target_outlier_threshold}",
-        ),
-        "split": ("train, test or live", "by labelled month"),
-    }
-    for k in params.momentum_lags:
-        entries[f"price_mom_{k}m"] = (f"price change over {k} months", f"price / lag {k} - 1")
-        entries[f"zhvi_mom_{k}m"] = (f"index change over {k} months", f"zhvi / lag {k} - 1")
-    for s in params.macro_series:
-        entries[s] = ("national monthly series", "mean of the month")
-    for s, name in params.macro_deltas.items():
-        entries[name] = (f"change of {s} over 3 months", f"{s} - lag 3")
-    return entries
+    """column -> (meaning, formula) for every column of the feature table.
+
+    Made columns are described by their own definition, published ones by the source
+    that lists them, and conditions by their expression.
+    """
+    published = {"tracker": TRACKER_METRICS, "index": ("zhvi",), "national series": params.macro_series}
+    entries = {c: (f"{words(c)}, from the {source}", "as published") for source, own in published.items() for c in own}
+    entries |= {c: (f"{what} of the panel's key", "as published, normalised") for c, what in (("zip", "place"), ("month", "time"))}
+    entries |= {f.name: (f.meaning(), f.formula()) for f in feature_list(params)}
+    conditions = {"low_volume": low_volume_flag(params.low_volume_threshold), "target_outlier": outlier(params)}
+    entries |= {c: ("mark of rows that stay in the table but not in fits", expression_text(e)) for c, e in conditions.items()}
+    return entries | {"split": ("part of the time line a row belongs to", "from the months that have a label")}
+
+
+def expression_text(condition: Column) -> str:
+    """A condition as Spark prints it."""
+    return str(condition).removeprefix("Column<'").removesuffix("'>")
 
 
 def document(features: DataFrame, params: PanelParams = PanelParams()) -> DataFrame:

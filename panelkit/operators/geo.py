@@ -1,4 +1,4 @@
-"""Geometry coverage, selection and bounds on nested coordinate arrays."""
+"""Geometry coverage, selection and bounds of nested geometry documents."""
 
 from __future__ import annotations
 
@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.staging import stage
+
 # Margin as a share of the span, and its least size in degrees.
 PAD_SHARE, PAD_FLOOR = 0.08, 0.05
+# Members of a geometry document that lead to positions.
+MEMBERS = ("features", "geometry", "geometries", "coordinates")
 
 
 def key_coverage(requested: DataFrame, available: DataFrame) -> DataFrame:
@@ -36,25 +40,47 @@ def subset_geometries(geometries: DataFrame, drawn: DataFrame) -> DataFrame:
     return geometries.join(drawn.select(F.col("zip").alias("id")), "id", "left_semi")
 
 
-def _points(geometries: DataFrame) -> DataFrame:
-    """One (lon, lat) array per row, from coordinates of any declared depth."""
-    df = geometries.select(F.col("geometry.coordinates").alias("c"))
-    kind = df.schema["c"].dataType
-    while isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType):
-        df = df.select(F.explode("c").alias("c"))
-        kind = kind.elementType
-    return df
+def _documents(geometries: DataFrame) -> DataFrame:
+    """Geometries as VARIANT, from JSON text, VARIANT or typed columns."""
+    kind = geometries.schema["geometry"].dataType
+    if isinstance(kind, T.VariantType):
+        return geometries.select(F.col("geometry").alias("value"))
+    text = F.col("geometry") if isinstance(kind, T.StringType) else F.to_json("geometry")
+    return geometries.select(F.try_parse_json(text).alias("value"))
+
+
+def points(geometries: DataFrame) -> DataFrame:
+    """(lon, lat) of every position, whatever the kind and depth of a geometry.
+
+    Documents are opened level by level until only positions are left: arrays that begin
+    with two numbers. Collections hold geometries and geometries hold coordinates; other
+    members, such as a bounding box, are not followed.
+    """
+    place = lambda i: F.try_variant_get(F.col("value"), f"$[{i}]", "double")
+    nodes, found = _documents(geometries), []
+    while True:
+        read = nodes.select("value", place(0).alias("lon"), place(1).alias("lat"))
+        at_leaf = F.col("lon").isNotNull() & F.col("lat").isNotNull()
+        found.append(read.filter(at_leaf).select("lon", "lat"))
+        inner = read.filter(~at_leaf).select("value")
+        opened = inner.lateralJoin(inner.sparkSession.tvf.variant_explode(F.col("value").outer()).toDF("pos", "key", "child"))
+        followed = opened.filter(F.col("key").isNull() | F.col("key").isin(*MEMBERS)).select(F.col("child").alias("value"))
+        nodes = stage(followed, "members")
+        if nodes.isEmpty():
+            break
+    whole = found[0]
+    for part in found[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
 def bounds(geometries: DataFrame) -> DataFrame:
     """One row with the bounding box of all points; all NULL when there are none."""
-    point = F.col("c")
-    lon, lat = F.try_element_at(point, F.lit(1)), F.try_element_at(point, F.lit(2))
-    return _points(geometries).agg(
-        F.min(lon).alias("lon_min"),
-        F.min(lat).alias("lat_min"),
-        F.max(lon).alias("lon_max"),
-        F.max(lat).alias("lat_max"),
+    return points(geometries).agg(
+        F.min("lon").alias("lon_min"),
+        F.min("lat").alias("lat_min"),
+        F.max("lon").alias("lon_max"),
+        F.max("lat").alias("lat_max"),
     )
 
 

@@ -119,16 +119,47 @@ def average_ranks(
         rank = F.rank().over(ordered) + (F.count(F.lit(1)).over(tied) - 1) / F.lit(2.0)
         missing = F.count_if(F.col(value).isNull()).over(Window.partitionBy(*by))
         return df.withColumn(name, F.when(F.col(value).isNotNull(), (rank - missing).cast("double")))
-    # Ties collapse before anything is ordered, so a value that a third of the
-    # rows share is one row here. It meets those rows again in a join with one
-    # row per value, where Spark splits a skewed left side.
-    known = df.filter(F.col(value).isNotNull())
-    values = known.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_ties"))
-    upto = running_total(
-        stage(values, "values"), [F.col(value)], by, F.col("_ties"), "_upto", max_group
-    )
-    ranks = upto.select(
-        *by, value, (F.col("_upto") - (F.col("_ties") - 1) / F.lit(2.0)).alias(name)
+    known, unknown = df.filter(F.col(value).isNotNull()), df.filter(F.col(value).isNull())
+    ranked = _sliced_average_ranks(known, value, by, name, max_group)
+    return ranked.unionByName(unknown.withColumn(name, F.lit(None).cast("double")))
+
+
+def _sliced_average_ranks(df: DataFrame, value: str, by: Sequence[str], name: str, max_group: int) -> DataFrame:
+    """Average ranks over range slices; equal values may lie in any number of slices.
+
+    Inside a slice ranks are local. Only the lowest and the highest value of a slice can go
+    on elsewhere, so the small table of slices carries, for both, where its ties begin and
+    how many there are in all. Rows meet it by slice, never by value.
+    """
+    spread = [F.col(c) for c in by] + [F.col(value), F.xxhash64(*df.columns)]
+    slices = max(2, 2 * -(-df.count() // max_group))
+    cut = stage(df.repartitionByRange(slices, *spread).withColumn(SLICE, F.spark_partition_id()), "slices")
+    slice_of = Window.partitionBy(*by, SLICE)
+    lowest, highest = F.min(value).over(slice_of), F.max(value).over(slice_of)
+    counted = cut.groupBy(*by, SLICE, value).agg(F.count(F.lit(1)).alias("_t"))
+    sized = counted.withColumns({"_n": F.sum("_t").over(slice_of), "_low": lowest, "_high": highest})
+    # at most two rows per (group, slice)
+    ends = stage(sized.filter((F.col(value) == F.col("_low")) | (F.col(value) == F.col("_high"))), "ends")
+    earlier = Window.partitionBy(*by).orderBy(SLICE).rangeBetween(Window.unboundedPreceding, -1)
+    once = F.when(F.col(value) == F.col("_low"), F.col("_n")).otherwise(0)
+    ties = ends.withColumn("_before", F.coalesce(F.sum(once).over(earlier), F.lit(0)))
+    # a value that begins in a slice as its highest stands before that slice's last _t rows
+    everywhere = Window.partitionBy(*by, value)
+    starts = F.when(F.col(value) == F.col("_high"), F.col("_before") + F.col("_n") - F.col("_t")).otherwise(F.col("_before"))
+    middle = (F.min(starts).over(everywhere) + (F.sum("_t").over(everywhere) + 1) / F.lit(2.0)).cast("double")
+    placed = ties.withColumn("_middle", middle).groupBy(*by, SLICE).agg(
+        F.min("_before").alias("_before"),
+        F.min(value).alias("_low"), F.max(value).alias("_top"),
+        F.min_by("_middle", value).alias("_low_rank"), F.max_by("_middle", value).alias("_top_rank"),
+    )
+    tied = Window.partitionBy(*by, SLICE, value)
+    local = cut.withColumn("_local", F.rank().over(slice_of.orderBy(value)) + (F.count(F.lit(1)).over(tied) - 1) / F.lit(2.0))
+    keys = {k: f"_key{i}" for i, k in enumerate((*by, SLICE))}
+    named = placed.withColumnsRenamed(keys)
+    joined = local.join(named, [F.col(k).eqNullSafe(F.col(v)) for k, v in keys.items()], "inner")
+    rank = (
+        F.when(F.col(value) == F.col("_low"), F.col("_low_rank"))
+        .when(F.col(value) == F.col("_top"), F.col("_top_rank"))
+        .otherwise((F.col("_before") + F.col("_local")).cast("double"))
     )
-    match = [df[k].eqNullSafe(ranks[k]) for k in by] + [df[value] == ranks[value]]
-    return df.join(ranks, match, "left").select(*[df[c] for c in df.columns], name)
+    return joined.select(*df.columns, rank.alias(name))

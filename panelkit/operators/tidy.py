@@ -133,12 +133,14 @@ def tidy_wide(
 
 
 def tidy_macro(
-    observations: DataFrame, series: Sequence[str], fill: bool = True
+    observations: DataFrame, series: Sequence[str], fill: bool = True, spine: bool = False
 ) -> DataFrame:
     """(series, date, value text) to one row per month, one column per series.
 
     The pivot is one conditional aggregate, hence a single map-side combined
-    shuffle; a month has a row if any of the series has a value in it.
+    shuffle; a month has a row if any of the series has a value in it. With ``spine``
+    every month between the first and the last has one, so that a month in which nothing
+    was published is filled like any other gap.
     """
     monthly = (
         observations.select(
@@ -149,9 +151,18 @@ def tidy_macro(
         .agg(*[F.avg(F.when(F.col("series") == s, F.col("value"))).alias(s) for s in series])
         .filter(F.coalesce(*series).isNotNull())
     )
+    if spine:
+        monthly = on_calendar(monthly)
     return fill_interior_gaps(monthly, series) if fill else monthly
 
 
+def on_calendar(df: DataFrame, month: str = "month") -> DataFrame:
+    """The rows of a monthly table and an empty one for every month it skips."""
+    ends = df.agg(F.min(month).alias("_first"), F.max(month).alias("_last")).filter(F.col("_first").isNotNull())
+    calendar = ends.select(F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 1 MONTH"))).alias(month))
+    return calendar.join(df, month, "left").select(*df.columns)
+
+
 def fill_interior_gaps(df: DataFrame, columns: Sequence[str], month: str = "month") -> DataFrame:
     """Repeat the last value through interior gaps; trailing months stay NULL.
 

@@ -30,7 +30,9 @@ cells AS (
          median(qty) AS median_dom, avg(1 - disc) AS avg_sale_to_list,
          avg(CASE WHEN disc = 0 THEN 1.0 ELSE 0.0 END) AS sold_above_list
   FROM spans
-  WHERE date_trunc('month', period_end) BETWEEN DATE '1995-03-01' AND DATE '2001-10-01'
+  WHERE date_trunc('month', period_end) BETWEEN
+    (SELECT min(ship) + INTERVAL 2 MONTH FROM lines) AND
+    (SELECT date_trunc('month', CAST(max(l_shipdate) AS DATE) + 1) - INTERVAL 1 MONTH FROM lineitem)
   GROUP BY ALL),
 kept AS (
   SELECT * FROM cells
@@ -39,10 +41,16 @@ tracker AS (
   SELECT 'Zip Code: ' || l_suppkey AS region_zip, * FROM kept
   UNION ALL
   SELECT 'Zip Code: ' || l_suppkey, * REPLACE (median_sale_price + 1 AS median_sale_price)
-  FROM kept WHERE date_trunc('month', period_end) = DATE '1997-06-01')"""
+  FROM kept WHERE date_trunc('month', period_end) = DATE '1997-06-01'
+  UNION ALL
+  SELECT 'Zip Code: unknown', * FROM kept
+  WHERE date_trunc('month', period_end) = DATE '1996-09-01' AND l_suppkey % 11 = 0
+  UNION ALL
+  SELECT 'Zip Code: ' || l_suppkey, * REPLACE (CAST(NULL AS DOUBLE) AS median_sale_price)
+  FROM kept WHERE date_trunc('month', period_end) = DATE '1997-11-01' AND l_suppkey % 13 = 0)"""
 
 TIDY = RAW + """,
-keyed AS (
+windowed AS (
   SELECT *, CASE WHEN length(CAST(l_suppkey AS VARCHAR)) < 5
                  THEN lpad(CAST(l_suppkey AS VARCHAR), 5, '0')
                  ELSE CAST(l_suppkey AS VARCHAR) END AS zip,
@@ -50,10 +58,12 @@ keyed AS (
   FROM tracker
   WHERE property_type = 'O' AND day(period_begin) = 1
     AND period_end = last_day(CAST(period_begin + INTERVAL 2 MONTH AS DATE))),
+keyed AS (SELECT * FROM windowed WHERE regexp_matches(region_zip, '[0-9]\\s*$')),
+priced AS (SELECT * FROM keyed WHERE median_sale_price IS NOT NULL),
 tidy AS (
   SELECT zip, month, median_sale_price, homes_sold, inventory, new_listings, median_dom,
          avg_sale_to_list, sold_above_list, homes_sold < 10 AS low_volume
-  FROM keyed
+  FROM priced
   QUALIFY row_number() OVER (
     PARTITION BY zip, month
     ORDER BY period_end DESC NULLS FIRST, median_sale_price DESC NULLS FIRST,
@@ -71,8 +81,8 @@ home_index AS (
 
 MACRO = """
 weekly AS (
-  SELECT o_orderpriority AS prio, CAST(date_trunc('week', o_orderdate) AS DATE) AS wk,
-         avg(o_totalprice) / 10000 AS v
+  SELECT CASE WHEN o_orderpriority LIKE '4%' THEN '5-LOW' ELSE o_orderpriority END AS prio,
+         CAST(date_trunc('week', o_orderdate) AS DATE) AS wk, avg(o_totalprice) / 10000 AS v
   FROM orders GROUP BY ALL),
 monthly AS (
   SELECT prio, CAST(date_trunc('month', wk) AS DATE) AS month, avg(v) AS v
@@ -252,13 +262,13 @@ def with_(relations: str, select: str) -> str:
 SQL["tracker_funnel"] = with_(TIDY + """,
 n AS (SELECT (SELECT count(*) FROM tracker) AS raw,
              (SELECT count(*) FROM tracker WHERE property_type = 'O') AS typed,
-             (SELECT count(*) FROM keyed) AS whole,
-             (SELECT count(*) FROM tidy) AS dedup)""", """
+             (SELECT count(*) FROM windowed) AS whole, (SELECT count(*) FROM keyed) AS keyed,
+             (SELECT count(*) FROM priced) AS priced, (SELECT count(*) FROM tidy) AS dedup)""", """
 SELECT 1 AS step_no, 'property_type' AS step, raw AS rows_in, typed AS rows_out FROM n
 UNION ALL SELECT 2, 'whole_window', typed, whole FROM n
-UNION ALL SELECT 3, 'keyed', whole, whole FROM n
-UNION ALL SELECT 4, 'priced', whole, whole FROM n
-UNION ALL SELECT 5, 'dedup', whole, dedup FROM n""")
+UNION ALL SELECT 3, 'keyed', whole, keyed FROM n
+UNION ALL SELECT 4, 'priced', keyed, priced FROM n
+UNION ALL SELECT 5, 'dedup', priced, dedup FROM n""")
 
 _TIDY_COLS = r("median_sale_price", "homes_sold", "inventory", "new_listings", "median_dom",
                "avg_sale_to_list", "sold_above_list")
@@ -272,6 +282,14 @@ SQL["wide_index_unpivot"] = with_(INDEX, f"SELECT zip, month, {r('zhvi')} FROM h
 _MACROS = r("MORTGAGE30US", "UNRATE", "CPIAUCSL", "HOUST")
 SQL["macro_monthly_pivot"] = with_(MACRO, f"SELECT month, {_MACROS} FROM macro_raw")
 SQL["macro_gap_fill"] = with_(MACRO, f"SELECT month, {_MACROS} FROM macro")
+SQL["macro_calendar_fill"] = with_(MACRO, """
+SELECT s.month, """ + ", ".join(
+    f"""CASE WHEN s.month <= (SELECT max(month) FROM macro_raw WHERE {c} IS NOT NULL AND month <> DATE '1998-02-01') THEN
+    (SELECT round(b.{c} + 1e-9, 6) FROM macro_raw b WHERE b.month <= s.month AND b.{c} IS NOT NULL
+     AND b.month <> DATE '1998-02-01' ORDER BY b.month DESC LIMIT 1) END AS {c}"""
+    for c in ("MORTGAGE30US", "UNRATE", "CPIAUCSL", "HOUST")
+) + """
+FROM (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM macro_raw) s""")
 SQL["key_metro_mode"] = with_(LOOKUP, "SELECT zip, metro FROM lookup")
 SQL["metro_options"] = with_(LOOKUP, "SELECT DISTINCT metro FROM lookup ORDER BY metro")
 SQL["category_counts"] = with_(FEATURES, "SELECT split, count(*) AS n FROM features GROUP BY split")
@@ -669,8 +687,10 @@ FROM snap p LEFT JOIN shapes s ON s.zip = p.zip""")
 SQL["key_unmatched"] = with_(_GEO, """
 SELECT DISTINCT zip FROM snap WHERE zip NOT IN (SELECT zip FROM shapes) ORDER BY zip""")
 SQL["bounding_box"] = with_(_GEO + """,
-b AS (SELECT CAST(min(x) - 0.5 AS DOUBLE) AS lon_min, CAST(min(y) - 0.5 AS DOUBLE) AS lat_min,
-             CAST(max(x) + 0.5 AS DOUBLE) AS lon_max, CAST(max(y) + 0.5 AS DOUBLE) AS lat_max
+b AS (SELECT CAST(min(x) - 0.5 AS DOUBLE) AS lon_min,
+             CAST(min(CASE WHEN CAST(zip AS INT) % 3 = 2 THEN y - 0.75 ELSE y - 0.5 END) AS DOUBLE) AS lat_min,
+             CAST(max(CASE WHEN CAST(zip AS INT) % 3 = 2 THEN x + 0.75 ELSE x + 0.5 END) AS DOUBLE) AS lon_max,
+             CAST(max(y) + 0.5 AS DOUBLE) AS lat_max
       FROM shapes WHERE zip IN (SELECT zip FROM snap))""", """
 SELECT lon_min, lat_min, lon_max, lat_max,
   round(lon_min - greatest((lon_max - lon_min) * 0.08, 0.05) + 1e-9, 6) AS lon_from,

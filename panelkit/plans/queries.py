@@ -167,6 +167,13 @@ def macro_gap_fill(spark, folder):
     return macro_months(spark, folder)
 
 
+@query
+def macro_calendar_fill(spark, folder):
+    """A month in which no series published anything, filled on request."""
+    known = bind.macro_observations(spark, folder).filter(F.trunc("date", "month") != F.lit("1998-02-01").cast("date"))
+    return tidy.tidy_macro(known, PARAMS.macro_series, spine=True)
+
+
 @query
 def key_metro_mode(spark, folder):
     return bound_lookup(spark, folder)

@@ -17,14 +17,15 @@ from panelkit.functions.keys import pad_key
 from panelkit.operators.quantiles import grouped_percentiles
 
 # Fixed values of the binding.
-FIRST_MONTH = datetime.date(1995, 3, 1)
-LAST_MONTH = datetime.date(2001, 10, 1)
 DUPLICATED_MONTH = datetime.date(1997, 6, 1)
 GAP_MONTH = datetime.date(1998, 4, 1)
+KEYLESS_MONTH = datetime.date(1996, 9, 1)
+UNPRICED_MONTH = datetime.date(1997, 11, 1)
 MACRO_PRIORITIES = {
     "1-URGENT": "MORTGAGE30US",
     "2-HIGH": "UNRATE",
     "3-MEDIUM": "CPIAUCSL",
+    "4-NOT SPECIFIED": "HOUST",
     "5-LOW": "HOUST",
 }
 BLANK_SERIES, BLANK_MONTH = "UNRATE", datetime.date(1999, 10, 1)
@@ -36,7 +37,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def tracker(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw tracker: trailing windows, single-month windows of 1996, duplicates.
+    """Raw tracker: trailing windows, single-month windows of 1996, duplicates, bad keys, gaps.
 
     A line item belongs to the three windows that end in its ship month and the
     two months after; one of 1996 also to a single-month window. The windows of
@@ -65,7 +66,10 @@ def tracker(spark: SparkSession, folder: str) -> DataFrame:
             )
         ),
     ).withColumn("end_month", F.col("ship") + F.col("ahead"))
-    first, last = (m.year * 12 + m.month for m in (FIRST_MONTH, LAST_MONTH))
+    # one row: the first month in which a whole window ends, and the last month that is over
+    after = month_index(F.date_add(F.max("l_shipdate").cast("date"), 1))
+    ends = lines.agg(month_index(F.min("l_shipdate")).alias("first"), after.alias("after")).first()
+    first, last = (ends["first"] or 0) + 2, (ends["after"] or 0) - 1
     cells = grouped_percentiles(
         rows.filter(F.col("end_month").between(first, last)),
         ["l_suppkey", "property_type", "end_month", "span"],
@@ -88,18 +92,27 @@ def tracker(spark: SparkSession, folder: str) -> DataFrame:
     years, month = F.floor((F.col("end_month") - 1) / 12), (F.col("end_month") - 1) % 12 + 1
     ends_in = F.make_date(years.cast("int"), month.cast("int"), F.lit(1))
 
-    def published(bump: float):
+    def published(price: Column, digits: Column):
         return F.struct(
-            F.concat(F.lit("Zip Code: "), F.col("l_suppkey").cast("string")).alias("region_zip"),
+            F.concat(F.lit("Zip Code: "), digits).alias("region_zip"),
             F.add_months("month", 1 - F.col("span")).alias("period_begin"),
             F.last_day("month").alias("period_end"),
-            (F.col("median_sale_price") + bump).alias("median_sale_price"),
+            price.alias("median_sale_price"),
         )
 
+    def also(condition: Column, row: Column) -> Column:
+        return F.filter(F.array(row), lambda _: condition)
+
     # Text and dates of a published row come out of the generator, so a later
     # filter on them is evaluated per cell and not pushed down to every line.
-    once, twice = F.array(published(0.0)), F.array(published(0.0), published(1.0))
-    rows_of_cell = F.when(F.col("month") == F.lit(DUPLICATED_MONTH), twice).otherwise(once)
+    price, digits = F.col("median_sale_price"), F.col("l_suppkey").cast("string")
+    in_month = lambda m: F.col("month") == F.lit(m)
+    rows_of_cell = F.concat(
+        F.array(published(price, digits)),
+        also(in_month(DUPLICATED_MONTH), published(price + 1.0, digits)),
+        also(in_month(KEYLESS_MONTH) & (F.col("l_suppkey") % 11 == 0), published(price, F.lit("unknown"))),
+        also(in_month(UNPRICED_MONTH) & (F.col("l_suppkey") % 13 == 0), published(F.lit(None).cast("double"), digits)),
+    )
     others = [
         "property_type",
         "homes_sold",
@@ -149,7 +162,12 @@ def index_wide(spark: SparkSession, folder: str) -> DataFrame:
         .pivot("month", months)
         .agg(F.max("zhvi"))
     )
-    return pivoted.toDF("RegionName", *labels)
+    wide = pivoted.toDF("RegionName", *labels)
+    # some regions come twice, under another spelling of their key and with lower values
+    again = wide.filter("CAST(RegionName AS BIGINT) % 17 = 0").select(
+        F.lpad("RegionName", 5, "0").alias("RegionName"), *[(F.col(f"`{c}`") - 1).alias(c) for c in labels]
+    )
+    return wide.unionByName(again.filter("length(RegionName) = 5"))
 
 
 def index(spark: SparkSession, folder: str) -> DataFrame:
@@ -226,18 +244,29 @@ def exclusion_values(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def geometries(spark: SparkSession, folder: str) -> DataFrame:
-    """A unit square per supplier around (nation, supplier % 90); one in ten has none."""
+    """A unit square per supplier around (nation, supplier % 90); one in ten has none.
+
+    Every third is a multi-polygon, and every third a collection with a point beside
+    the square.
+    """
     x, y = F.col("s_nationkey").cast("double"), (F.col("s_suppkey") % 90).cast("double")
     corners = [(-0.5, -0.5), (0.5, -0.5), (0.5, 0.5), (-0.5, 0.5), (-0.5, -0.5)]
     ring = F.array(*[F.array(x + F.lit(dx), y + F.lit(dy)) for dx, dy in corners])
+
+    def shape(kind: str, member: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("type"), value.alias(member))
+
+    square = shape("Polygon", "coordinates", F.array(ring))
+    several = shape("MultiPolygon", "coordinates", F.array(F.array(ring)))
+    beside = shape("Point", "coordinates", F.array(x + 0.75, y - 0.75))
+    parts = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), F.to_json(square), F.lit(","), F.to_json(beside), F.lit("]}"))
+    third = F.col("s_suppkey") % 3
     return (
         table(spark, folder, "supplier")
         .filter("s_suppkey % 10 <> 6")
         .select(
             pad_key(F.col("s_suppkey").cast("string")).alias("id"),
-            F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias(
-                "geometry"
-            ),
+            F.when(third == 0, F.to_json(square)).when(third == 1, F.to_json(several)).otherwise(parts).alias("geometry"),
         )
     )
 

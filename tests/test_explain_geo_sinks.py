@@ -88,6 +88,22 @@ def test_bounds_of_mixed_depths(shapes, spark):
     assert tuple(geo.bounds(shapes.limit(0)).first()) == (None,) * 4
 
 
+def test_bounds_of_any_depth_and_form(spark):
+    """Collections in collections, positions with a height, members that hold no place, typed columns."""
+    docs = [
+        {"type": "Point", "coordinates": [3, -4, 100]},
+        {"type": "GeometryCollection", "bbox": [-99, -99, 99, 99], "geometries": [
+            {"type": "LineString", "coordinates": [[0.5, 1], [2, 8.25]]},
+            {"type": "GeometryCollection", "geometries": [{"type": "MultiPolygon", "coordinates": [[square(-7, 2)], [square(1, 1)]]}]}]},
+        {"type": "Odd", "coordinates": [[[[[[[12.0, 0.0]]]]]]]},
+        {"type": "Polygon", "coordinates": []}, {"type": "Point"}]
+    rows = spark.createDataFrame([(str(i), json.dumps(d)) for i, d in enumerate(docs)] + [("n", None), ("b", "{")], "id string, geometry string")
+    assert tuple(geo.bounds(rows).first()) == (-7.0, -4.0, 12.0, 8.25)
+    typed = spark.createDataFrame([("a", ("Polygon", [square(1.0, 2.0)]))], "id string, geometry struct<type:string,coordinates:array<array<array<double>>>>")
+    assert tuple(geo.bounds(typed).first()) == (1.0, 2.0, 2.0, 3.0)
+    assert geo.points(rows.limit(0)).count() == 0
+
+
 def test_small_box_gets_the_least_margin(spark):
     box = spark.createDataFrame([(0.0, 0.0, 0.1, 0.1)], "lon_min double, lat_min double, lon_max double, lat_max double")
     assert geo.padded_ranges(box).first().lon_from == pytest.approx(-0.05)

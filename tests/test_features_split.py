@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +101,17 @@ def test_dictionary_covers_and_rejects(spark):
         features.document(df.withColumn("mystery", F.lit(1)))
 
 
+def test_a_changed_window_changes_column_and_entry(spark):
+    for months in (3, 5):
+        own = replace(PanelParams(), label_horizon_months=months, momentum_lags=(months,), target_outlier_threshold=months / 10)
+        df = features.document(features.build_features(make_panel(spark), own), own)
+        entry = {r.column_name: (r.comment, r.formula) for r in features.dictionary_table(spark, df).collect()}
+        assert f"price_mom_{months}m" in df.columns and "price_mom_12m" not in df.columns
+        assert entry[f"zhvi_mom_{months}m"][1] == f"zhvi[t] / zhvi[t-{months}] - 1"
+        assert str(months) in entry["target"][0] and entry["target"][1].startswith(f"median_sale_price[t+{months}]")
+        assert str(months / 10) in entry["target_outlier"][1]
+
+
 @pytest.fixture(scope="module")
 def table(spark):
     return split.assign_split(features.build_features(make_panel(spark, months=60))).cache()
@@ -188,9 +200,13 @@ def test_macro_range_check_is_per_series(spark):
 
 
 def test_schema_contracts(spark):
-    found, missing = contracts.map_columns(
+    match = contracts.match_header(
         ["region_zip", "price", "absent"], ["REGION", "Price"], {"region_zip": ["region"]})
-    assert found == {"region_zip": "REGION", "price": "Price"} and missing == ["absent"]
+    assert match == ({"region_zip": "REGION", "price": "Price"}, ["absent"], {})
+    match = contracts.match_header(["a b", "c"], ["C", "A_B", "AB", "c"], {"c": ["ab"]})
+    assert match == ({"a b": "A_B", "c": "c"}, [], {"a b": ["A_B", "AB"]})
+    with pytest.raises(ContractError, match="several columns"):
+        contracts.require_unambiguous(match, "t")
     df = spark.createDataFrame([(1, "2024-01-01", "NA", "", "7")], "a int, b string, c string, d string, e string")
     with pytest.raises(ContractError):
         contracts.require_columns(df, ["a", "z"], "t")

@@ -51,6 +51,17 @@ def test_average_ranks_both_ways(rows):
     assert plain == spread
 
 
+@pytest.mark.parametrize("by", [[], ["g"]])
+@pytest.mark.parametrize("limit", [3, 25, 400])
+def test_ties_over_any_number_of_slices(rows, by, limit):
+    """Nulls, one value in a third of the rows, and a constant column."""
+    plain = as_dict(average_ranks(rows, "v", by, "r"), "r")
+    spread = average_ranks(rows, "v", by, "r", max_group=limit)
+    assert as_dict(spread, "r") == plain
+    constant = stage(rows.withColumn("v", F.lit(1.0)), "t")
+    assert as_dict(average_ranks(constant, "v", by, "r", max_group=limit), "r") == as_dict(average_ranks(constant, "v", by, "r"), "r")
+
+
 def test_percentiles_match_numpy_with_and_without_large_groups(rows):
     wanted = {"p05": ("v", 0.05), "p50": ("v", 0.5), "p90": ("v", 0.9), "id50": ("id", 0.5)}
     data = rows.toPandas()
