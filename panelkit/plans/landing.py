@@ -74,6 +74,19 @@ def land_tracker(rows: DataFrame, path: str) -> str:
     return path
 
 
+def land_tracker_by_year(rows: DataFrame, folder: str) -> str:
+    """The tracker in one file a year of the window's end; returns their glob.
+
+    Landing a year again replaces its file.
+    """
+    year = F.year("period_end").alias("ending")
+    spread = rows.select("*", year).repartition("ending")
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ending").csv(
+        folder, sep="\t", header=True, compression="gzip"
+    )
+    return f"{folder}/ending=*/*.gz"
+
+
 def land_wide(rows: DataFrame, path: str) -> str:
     rows.write.csv(path, header=True)
     return path

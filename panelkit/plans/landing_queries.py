@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.operators import decide
-from panelkit.plans import landing
+from panelkit.plans import landing, refresh, training
+from panelkit.plans.build import feature_table, written_once
 from panelkit.plans.oracle import SQL
-from panelkit.plans.queries import PARAMS, query, scored
+from panelkit.plans.queries import MODEL, PARAMS, query, scored
 from panelkit.sinks import runs, tables
 from panelkit.sources import bind
 from panelkit.sources.readers import read_series, read_table, read_tracker
+from panelkit.staging import stage
+
+
+# The cycle is timed by its files, not its trees.
+SMALL = training.quick_params(MODEL)
 
 
 def _landed(spark: SparkSession, folder: str) -> landing.Landed:
@@ -43,6 +49,110 @@ def landed_lookup(spark, folder):
 SQL["landed_lookup"] = SQL["key_metro_mode"]
 
 
+def _corrected(rows: DataFrame) -> DataFrame:
+    """The rows of one year as landed a second time: other prices, and thin cells withdrawn."""
+    own = rows.filter(F.year("period_end") == 1998).withColumn("median_sale_price", F.col("median_sale_price") + 7.0)
+    return own.filter(F.col("homes_sold") >= 3)
+
+
+def _land_all(spark: SparkSession, folder: str, place: str):
+    """(tracker rows, globs of the three sources) of a first landing."""
+    rows = stage(bind.tracker(spark, folder), "tracker")
+    return rows, (
+        landing.land_tracker_by_year(rows, f"{place}/tracker"),
+        f"{landing.land_wide(bind.index_wide(spark, folder), f'{place}/index')}/*.csv",
+        landing.land_series(bind.macro_observations(spark, folder), f"{place}/series"),
+    )
+
+
+def _twice_landed(spark: SparkSession, folder: str):
+    """(root, what the second refresh did) after a full landing and a corrected file."""
+    place = landing.landing_folder(spark)
+    rows, files = _land_all(spark, folder, place)
+    refresh.refresh(spark, f"{place}/store", *files, PARAMS)
+    landing.land_tracker_by_year(_corrected(rows), f"{place}/tracker")
+    done = refresh.refresh(spark, f"{place}/store", *files, PARAMS)
+    again = refresh.refresh(spark, f"{place}/store", *files, PARAMS)
+    return f"{place}/store", done, again
+
+
+@query
+def refreshed_panel(spark, folder):
+    """The panel after one changed file, rebuilt only in the months of that file."""
+    root, _, _ = _twice_landed(spark, folder)
+    return refresh.current_panel(spark, root)
+
+
+_CORRECTED = """
+corrected AS (
+  SELECT * REPLACE (CASE WHEN year(period_end) = 1998 THEN median_sale_price + 7 ELSE median_sale_price END AS median_sale_price)
+  FROM tracker WHERE year(period_end) <> 1998 OR homes_sold >= 3),
+windowed AS ("""
+SQL["refreshed_panel"] = SQL["panel_join"].replace("\nwindowed AS (", _CORRECTED).replace(
+    "FROM tracker\n  WHERE property_type", "FROM corrected\n  WHERE property_type")
+
+
+@query
+def refresh_scope(spark, folder):
+    """Files read, files gone and months rebuilt by the second refresh, and by a third without changes."""
+    _, done, again = _twice_landed(spark, folder)
+    rows = [(k, len(r.read), len(r.gone), len(r.months)) for k, r in (("changed", done), ("unchanged", again))]
+    return spark.createDataFrame(rows, "landing string, files_read int, files_gone int, months int")
+
+
+SQL["refresh_scope"] = "WITH " + SQL["duplicate_cells"].split("WITH ", 1)[1].split("\nSELECT")[0] + """
+SELECT 'changed' AS landing, 1 AS files_read, 1 AS files_gone, count(DISTINCT date_trunc('month', period_end))::INT AS months
+FROM tracker WHERE year(period_end) = 1998
+UNION ALL SELECT 'unchanged', 0, 0, 0"""
+
+
+def _retrained(spark: SparkSession, folder: str) -> DataFrame:
+    """Train on a first landing, land a corrected year, retrain from the files."""
+
+    def build(session, path):
+        place = landing.landing_folder(session)
+        rows, files = _land_all(session, path, place)
+        refresh.refresh(session, f"{place}/store", *files, PARAMS)
+        features = feature_table(refresh.current_panel(session, f"{place}/store"), PARAMS)
+        training.train_and_save(features, place, "v1", PARAMS, SMALL)
+        landing.land_tracker_by_year(_corrected(rows), f"{place}/tracker")
+        done, made = training.retrain_from_files(session, place, "v2", *files, PARAMS, SMALL)
+        latest = tables.latest_path(session, f"{place}/models").rsplit("/", 1)[1]
+        row = made.decision
+        facts = [(len(done.read), len(done.months), row["fresh_rmse"], row["baseline_rmse"], row["degraded"], row["promote"], row["exit_code"], latest)]
+        return session.createDataFrame(
+            facts, "files_read int, months_rebuilt int, fresh_rmse double, baseline_rmse double, degraded boolean, "
+            "promote boolean, exit_code int, latest string"
+        )
+
+    return written_once(spark, folder, "retrained", build)
+
+
+@query
+def retrain_cycle(spark, folder):
+    """One cycle from landed files to the promoted version, with its monitoring figures."""
+    return _retrained(spark, folder)
+
+
+@query
+def retrain_cycle_rows(spark, folder):
+    """One file read, its months rebuilt, and a gate that follows from the two errors."""
+    bad = F.col("fresh_rmse") > MODEL.degradation_multiplier * F.col("baseline_rmse")
+    return _retrained(spark, folder).select(
+        "files_read",
+        "months_rebuilt",
+        (F.col("degraded") == bad).alias("gated"),
+        (F.col("promote") != F.col("degraded")).alias("promoted_if_good"),
+        (F.col("latest") == F.when(F.col("promote"), "v2").otherwise("v1")).alias("latest_follows"),
+    )
+
+
+SQL["retrain_cycle_rows"] = "WITH " + SQL["duplicate_cells"].split("WITH ", 1)[1].split("\nSELECT")[0] + """
+SELECT 1 AS files_read, count(DISTINCT date_trunc('month', period_end))::INT AS months_rebuilt,
+  true AS gated, true AS promoted_if_good, true AS latest_follows
+FROM tracker WHERE year(period_end) = 1998"""
+
+
 @query
 def landed_series(spark, folder):
     """Observations of every series through nested JSON."""
@@ -116,7 +226,7 @@ def sections_replaced(spark, folder):
     regions = bind.table(spark, folder, "region").select(F.col("r_name").alias("name"))
     for rows, section in ((nations, "join"), (nations, "split"), (nations, "gone"), (regions, "join"), (nations.limit(0), "gone")):
         tables.write_section(rows, place, section)
-    return spark.read.parquet(place).select("section", "name")
+    return tables.read_sections(spark, place).select("section", "name")
 
 
 SQL["sections_replaced"] = """

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import replace
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.config import ModelParams, PanelParams
@@ -15,6 +15,8 @@ from panelkit.operators import metrics, models
 from panelkit.operators.features import feature_columns
 from panelkit.operators.monitor import degradation_gate
 from panelkit.operators.split import drop_flagged, rolling_window, recent_months, shift_month
+from panelkit.plans.build import feature_table
+from panelkit.plans.refresh import Refreshed, current_panel, refresh
 from panelkit.sinks.runs import log_run, selected_settings
 from panelkit.sinks.tables import record_version
 from panelkit.staging import stage
@@ -159,6 +161,23 @@ def retrain(
     return Retrained(gate, drift, version)
 
 
+def retrain_from_files(
+    spark: SparkSession,
+    root: str,
+    version: str,
+    tracker: str,
+    index: str,
+    series: str,
+    panel_params: PanelParams = PanelParams(),
+    params: ModelParams = ModelParams(),
+    accept_degraded: bool = False,
+) -> tuple[Refreshed, Retrained]:
+    """The whole cycle: refresh the panel from the landed files, then retrain on it."""
+    done = refresh(spark, f"{root}/store", tracker, index, series, panel_params)
+    features = feature_table(current_panel(spark, f"{root}/store"), panel_params)
+    return done, retrain(features, root, version, panel_params, params, accept_degraded)
+
+
 def quick_params(params: ModelParams = ModelParams()) -> ModelParams:
     """The same jobs with small ensembles, for tests and trials."""
     return replace(

@@ -1,12 +1,13 @@
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
-from panelkit.errors import MissingInputError
+from panelkit.errors import ContractError, MissingInputError
 from panelkit.operators import explain, geo, profile
-from panelkit.sinks import tables
+from panelkit.sinks import record, tables
 from panelkit.sources import readers
 
 D = dt.date(2024, 1, 1)
@@ -142,8 +143,48 @@ def test_section_is_replaced_not_stacked(spark, tmp_path):
     tables.write_section(spark.createDataFrame([(1.0,)], "v double"), path, "join")
     tables.write_section(spark.createDataFrame([(2.0,)], "v double"), path, "split")
     tables.write_section(spark.createDataFrame([(3.0,)], "v double"), path, "join")
-    got = {r.section: r.v for r in spark.read.parquet(path).collect()}
+    got = {r.section: r.v for r in tables.read_sections(spark, path).collect()}
     assert got == {"join": 3.0, "split": 2.0}
+    tables.write_section(spark.createDataFrame([], "v double"), path, "join")
+    assert {r.section for r in tables.read_sections(spark, path).collect()} == {"split"}
+
+
+def test_a_failed_write_or_check_changes_nothing(spark, tmp_path):
+    path, root = str(tmp_path / "s"), str(tmp_path / "t")
+    good = spark.createDataFrame([(1.0,)], "v double")
+    tables.write_section(good, path, "a/b=c")
+    tables.publish(good, root, "v1")
+    broken = spark.createDataFrame([(0,)], "n int").select(F.raise_error(F.lit("lost")).cast("double").alias("v"))
+
+    def refuse(df):
+        raise ContractError("not good enough")
+
+    for rows, check in ((broken, None), (good, refuse)):
+        with pytest.raises(Exception, match="lost|not good enough"):
+            tables.write_section(rows, path, "a/b=c", check)
+        with pytest.raises(Exception, match="lost|not good enough"):
+            tables.publish(rows, root, f"w{check is None}", check=check)
+        assert [tuple(r) for r in tables.read_sections(spark, path).collect()] == [(1.0, "a/b=c")]
+        assert tables.latest_path(spark, root).endswith("v1")
+    with pytest.raises(ContractError, match="not to be written"):
+        tables.replace_sections(good.withColumn("section", F.lit("x")), path, ["y"])
+
+
+def test_of_two_writers_one_is_first(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.publish(spark.range(1), root, "v1")
+    seen = record.last_number(spark, root)
+    commit = record.reserve(spark, root)
+    tables.publish(spark.range(2), root, "v2", after=seen)
+    with pytest.raises(record.Outrun):
+        tables.publish(spark.range(3), root, "v3", after=seen)
+    with pytest.raises(record.Outrun):
+        commit({"version": "v4", "path": "x", "promoted": True, "facts": {}})
+    assert tables.latest_path(spark, root).endswith("v2")
+    with ThreadPoolExecutor(6) as pool:
+        taken = list(pool.map(lambda i: record.add_change(spark, str(tmp_path / "many"), {"i": i}), range(18)))
+    assert sorted(taken) == list(range(1, 19))
+    assert [c["number"] for c in record.changes(spark, str(tmp_path / "many"))] == list(range(1, 19))
 
 
 def test_empty_output_raises_and_log_appends(spark, tmp_path):
