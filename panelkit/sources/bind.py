@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from panelkit.config import PanelParams
 from panelkit.functions.calendar import month_floor, month_index
 from panelkit.functions.keys import pad_key
-from panelkit.operators.quantiles import grouped_percentiles
+from panelkit.operators.trailing import trailing_cells
 
 # Fixed values of the binding.
 DUPLICATED_MONTH = datetime.date(1997, 6, 1)
@@ -40,53 +40,41 @@ def tracker(spark: SparkSession, folder: str) -> DataFrame:
     """Raw tracker: trailing windows, single-month windows of 1996, duplicates, bad keys, gaps.
 
     A line item belongs to the three windows that end in its ship month and the
-    two months after; one of 1996 also to a single-month window. The windows of
-    a line are small numbers made by one explode, so the table is read once, and
-    dates are only computed per cell.
+    two months after; one of 1996 also to a single-month window. Windows are put
+    together from monthly pieces, and dates are only computed per cell.
     """
-    lines = table(spark, folder, "lineitem")
-
-    def windows(*pairs):
-        return F.array(
-            *[F.struct(F.lit(a).alias("ahead"), F.lit(n).alias("span")) for a, n in pairs]
-        )
-
-    whole = ((0, 3), (1, 3), (2, 3))
-    rows = lines.select(
-        "l_suppkey",
-        F.col("l_linestatus").alias("property_type"),
-        month_index("l_shipdate").alias("ship"),
-        "l_extendedprice",
-        "l_quantity",
-        "l_discount",
-        "l_returnflag",
-        F.inline(
-            F.when(F.year("l_shipdate") == 1996, windows(*whole, (0, 1))).otherwise(
-                windows(*whole)
-            )
-        ),
-    ).withColumn("end_month", F.col("ship") + F.col("ahead"))
+    lines = table(spark, folder, "lineitem").select(
+        "l_suppkey", F.col("l_linestatus").alias("property_type"), month_index("l_shipdate").alias("ship"),
+        "l_extendedprice", "l_quantity", "l_discount", "l_returnflag",
+    )
     # one row: the first month in which a whole window ends, and the last month that is over
-    after = month_index(F.date_add(F.max("l_shipdate").cast("date"), 1))
-    ends = lines.agg(month_index(F.min("l_shipdate")).alias("first"), after.alias("after")).first()
+    dates = table(spark, folder, "lineitem").agg(
+        month_index(F.min("l_shipdate")).alias("first"), month_index(F.date_add(F.max("l_shipdate").cast("date"), 1)).alias("after")
+    )
+    ends = dates.first()
     first, last = (ends["first"] or 0) + 2, (ends["after"] or 0) - 1
-    cells = grouped_percentiles(
-        rows.filter(F.col("end_month").between(first, last)),
-        ["l_suppkey", "property_type", "end_month", "span"],
+    made = trailing_cells(
+        lines,
+        ["l_suppkey", "property_type"],
+        "ship",
+        {"median_sale_price": "l_extendedprice", "median_dom": "l_quantity"},
         {
-            "median_sale_price": ("l_extendedprice", 0.5),
-            "median_dom": ("l_quantity", 0.5),
+            "inventory": F.col("l_quantity"),
+            "_new": (F.col("l_returnflag") == "N").cast("double"),
+            "_kept": 1 - F.col("l_discount"),
+            "_full": (F.col("l_discount") == 0).cast("double"),
         },
-        [
-            F.count(F.lit(1)).cast("double").alias("homes_sold"),
-            F.sum("l_quantity").alias("inventory"),
-            F.count_if(F.col("l_returnflag") == "N").cast("double").alias("new_listings"),
-            F.avg(1 - F.col("l_discount")).alias("avg_sale_to_list"),
-            F.avg((F.col("l_discount") == 0).cast("double")).alias("sold_above_list"),
-        ],
-        # A line is at most once in a cell, and footers give this count.
-        at_most=lines.count(),
+        spans=(3, 1),
     )
+    single = (F.col("span") == 1) & (F.floor((F.col("end_month") - 1) / 12) == 1996)
+    cells = made.filter(F.col("end_month").between(first, last) & ((F.col("span") == 3) | single)).select(
+        "l_suppkey", "property_type", "end_month", "span", "median_sale_price", "median_dom",
+        F.col("n").cast("double").alias("homes_sold"),
+        "inventory",
+        F.col("_new").alias("new_listings"),
+        (F.col("_kept") / F.col("n")).alias("avg_sale_to_list"),
+        (F.col("_full") / F.col("n")).alias("sold_above_list"),
+    )
     gap_month = GAP_MONTH.year * 12 + GAP_MONTH.month
     gap = (F.col("end_month") == gap_month) & (F.col("l_suppkey") % 7 == 0)
     years, month = F.floor((F.col("end_month") - 1) / 12), (F.col("end_month") - 1) % 12 + 1

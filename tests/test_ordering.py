@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelkit.operators.ordering import average_ranks, position, running_total
 from panelkit.operators.quantiles import grouped_percentiles
+from panelkit.operators.trailing import trailing_cells
 from panelkit.staging import stage
 
 
@@ -79,6 +80,40 @@ def test_percentiles_match_numpy_with_and_without_large_groups(rows):
             assert r.id50 == pytest.approx(np.percentile(mine.id, 50))
 
 
+def test_trailing_cells_both_ways_and_by_hand(spark):
+    """Gaps of months, a missing key, missing values, and a key with half of the rows."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(600):
+        key = "hot" if i % 2 else rng.choice(["a", "b", None])
+        month = rng.choice([1, 2, 3, 4, 9, 10, 20]) if key != "a" else rng.choice([5, 30])
+        rows.append((key, month, None if i % 50 == 0 else round(rng.uniform(0, 9), 1), i % 7))
+    df = stage(spark.createDataFrame(rows, "k string, m int, v double, w int"), "t")
+    args = (["k"], "m", {"mid": "v", "mid_w": "w"}, {"total": F.col("w")}, (3, 1))
+    want = []
+    for key in ("hot", "a", "b", None):
+        for span in (3, 1):
+            for end in range(1, 33):
+                own = [r for r in rows if r[0] == key and end - span < r[1] <= end]
+                if own:
+                    v = [r[2] for r in own if r[2] is not None]
+                    want.append((key, end, span, len(own), sum(r[3] for r in own), float(np.median(v)) if v else None, float(np.median([r[3] for r in own]))))
+    names = ("k", "end_month", "span", "n", "total", "mid", "mid_w")
+    order = lambda r: tuple(map(str, r))
+    for limit in (10_000, 250, 100, 5):
+        got = [tuple(r[n] for n in names) for r in trailing_cells(df, *args, max_group=limit).collect()]
+        for a, b in zip(sorted(got, key=order), sorted(want, key=order), strict=True):
+            assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:])
+
+
+def test_windows_do_not_copy_rows_before_the_exchange(spark, folder):
+    from panelkit.sources import bind
+
+    plan = bind.tracker(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RepartitionByExpression"):]
+    assert "Generate" not in below and plan.count("RepartitionByExpression") == 1
+
+
 def test_plan_of_position_below_limit_has_no_second_shuffle(rows):
     df = position(rows, [F.asc("id")], ["g"])
     plan = df._jdf.queryExecution().executedPlan().toString()
