@@ -28,14 +28,16 @@ def trailing_cells(
     sums: Mapping[str, Column],
     spans: Sequence[int],
     max_group: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """One row per (keys, end month, span) with at least one row of ``df`` in its window.
 
     ``month`` is an integer month number. Columns: keys, ``end_month``, ``span``, ``n``, the
-    ``sums`` and the exact ``medians`` of the named columns. A missing key is a key.
+    ``sums`` as doubles and the exact ``medians`` of the named columns. A missing key is a key. The number of ``rows`` can be
+    given if it is known.
     """
     max_group = group_limit(df.sparkSession, max_group)
-    if df.count() <= max_group:
+    if (df.count() if rows is None else rows) <= max_group:
         return _from_pieces(df, keys, month, medians, sums, spans)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_group)
     large = stage(sizes.select(*[F.col(k).alias(f"_large_{k}") for k in keys]), "large_keys")
@@ -52,25 +54,29 @@ def _from_pieces(df, keys, month, medians, sums, spans) -> DataFrame:
     totals = [F.sum(c).alias(f"_s_{n}") for n, c in sums.items()]
     pieces = df.repartition(*keys).groupBy(*keys, month).agg(F.count(F.lit(1)).alias("_rows"), *totals, *values)
     # A window may end in a month without rows: its place is made by an empty copy of a piece.
+    names = [F.col(month).alias("at"), "_rows", *[f"_s_{n}" for n in sums], *[f"_v_{n}" for n in medians]]
     ahead = F.explode(F.sequence(F.lit(0), F.lit(max(spans) - 1))).alias("_ahead")
-    placed = pieces.select(*keys, month, ahead, "_rows", *[f"_s_{n}" for n in sums], *[f"_v_{n}" for n in medians])
-    own = F.col("_ahead") == 0
-    kept = [F.when(own, F.col(c)).alias(c) for c in placed.columns if c.startswith(("_rows", "_s_", "_v_"))]
-    placed = placed.select(*keys, (F.col(month) + F.col("_ahead")).alias("end_month"), "_ahead", *kept)
+    placed = pieces.select(*keys, month, ahead, F.struct(*names).alias("_piece"))
+    own = F.when(F.col("_ahead") == 0, F.col("_piece")).alias("_piece")
+    placed = placed.select(*keys, (F.col(month) + F.col("_ahead")).alias("end_month"), "_ahead", own)
+    # One gathering for all spans: a frame holds at most one piece a month.
+    frame = Window.partitionBy(*keys).orderBy("end_month").rangeBetween(1 - max(spans), 0)
+    first = F.row_number().over(Window.partitionBy(*keys, "end_month").orderBy("_ahead"))
+    gathered = placed.select(*keys, "end_month", first.alias("_first"), F.collect_list("_piece").over(frame).alias("_pieces"))
 
     def cell(span: int) -> Column:
-        frame = Window.partitionBy(*keys).orderBy("end_month").rangeBetween(1 - span, 0)
-        gathered = [F.array_sort(F.flatten(F.collect_list(f"_v_{n}").over(frame))).alias(n) for n in medians]
+        inside = F.filter("_pieces", lambda p: p["at"] > F.col("end_month") - span)
+        known = lambda n: F.filter(F.transform(inside, lambda p: p[f"_s_{n}"].cast("double")), lambda v: v.isNotNull())
+        add = lambda values: F.reduce(values, F.lit(0.0), lambda a, v: a + v)
+        of = lambda n: F.transform(inside, lambda p: p[f"_v_{n}"])
         return F.struct(
             F.lit(span).alias("span"),
-            F.coalesce(F.sum("_rows").over(frame), F.lit(0)).alias("n"),
-            *[F.sum(f"_s_{n}").over(frame).alias(n) for n in sums],
-            *gathered,
+            F.reduce(F.transform(inside, lambda p: p["_rows"]), F.lit(0).cast("bigint"), lambda a, v: a + v).alias("n"),
+            *[F.when(F.size(known(n)) > 0, add(known(n))).alias(n) for n in sums],
+            *[F.array_sort(F.flatten(of(n))).alias(n) for n in medians],
         )
 
-    first = F.row_number().over(Window.partitionBy(*keys, "end_month").orderBy("_ahead"))
-    windows = placed.select(*keys, "end_month", first.alias("_first"), F.array(*[cell(s) for s in spans]).alias("_cells"))
-    cells = windows.filter("_first = 1").select(*keys, "end_month", F.inline("_cells")).filter("n > 0")
+    cells = gathered.filter("_first = 1").select(*keys, "end_month", F.inline(F.array(*[cell(s) for s in spans]))).filter("n > 0")
     return cells.select(*keys, "end_month", "span", "n", *sums, *[middle(n).alias(n) for n in medians])
 
 
@@ -85,7 +91,7 @@ def middle(ordered: str) -> Column:
 def _from_copies(df, keys, month, medians, sums, spans, max_group) -> DataFrame:
     windows = [F.struct(F.lit(a).alias("_ahead"), F.lit(s).alias("span")) for s in spans for a in range(s)]
     rows = df.select("*", F.inline(F.array(*windows))).withColumn("end_month", F.col(month) + F.col("_ahead"))
-    totals = [F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(n) for n, c in sums.items()]]
+    totals = [F.count(F.lit(1)).alias("n"), *[F.sum(c).cast("double").alias(n) for n, c in sums.items()]]
     named = {n: (c, 0.5) for n, c in medians.items()}
     made = grouped_percentiles(rows, [*keys, "end_month", "span"], named, totals, max_group)
     return made.select(*keys, "end_month", "span", "n", *sums, *medians)

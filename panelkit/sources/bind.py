@@ -49,7 +49,9 @@ def tracker(spark: SparkSession, folder: str) -> DataFrame:
     )
     # one row: the first month in which a whole window ends, and the last month that is over
     dates = table(spark, folder, "lineitem").agg(
-        month_index(F.min("l_shipdate")).alias("first"), month_index(F.date_add(F.max("l_shipdate").cast("date"), 1)).alias("after")
+        F.count(F.lit(1)).alias("rows"),
+        month_index(F.min("l_shipdate")).alias("first"),
+        month_index(F.date_add(F.max("l_shipdate").cast("date"), 1)).alias("after"),
     )
     ends = dates.first()
     first, last = (ends["first"] or 0) + 2, (ends["after"] or 0) - 1
@@ -65,6 +67,7 @@ def tracker(spark: SparkSession, folder: str) -> DataFrame:
             "_full": (F.col("l_discount") == 0).cast("double"),
         },
         spans=(3, 1),
+        rows=ends["rows"],
     )
     single = (F.col("span") == 1) & (F.floor((F.col("end_month") - 1) / 12) == 1996)
     cells = made.filter(F.col("end_month").between(first, last) & ((F.col("span") == 3) | single)).select(
