@@ -1,7 +1,10 @@
 """SentencePiece encoding with the N best segmentations, and decoding.
 
-The vocabulary and its scores come from a public model file; nothing is trained. A text,
-led by one space, is cut into units that no piece crosses: spaces with the characters
+The vocabulary and its order come from a public model file; nothing is trained. The file's
+scores are merge ranks, which say nothing when they are added up, so a piece costs the
+logarithm of its frequency by rank, -ln(rank + ``RANK_OFFSET``), and a byte more than any
+piece. The ids are therefore not those of the library's merges; the best segmentation is about
+as short (see the tests). A text, led by one space, is cut into units that no piece crosses: spaces with the characters
 after them, and line feeds. On the lattice of a unit the forward Viterbi scores are the
 exact cost to the start, so a backward A* search that uses them as its heuristic yields
 segmentations from the best on, without a wrong turn. Characters that no piece covers
@@ -20,6 +23,7 @@ each, empty tables give no rows, and further columns are ignored.
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from array import array
 from collections.abc import Iterator
@@ -35,6 +39,8 @@ N_BEST = 4
 CACHE = 1 << 19  # units a task remembers; only a matter of speed
 NEVER = -1e8  # scores at or below mark pieces that the model does not mean to be chosen
 LONGEST = 48  # longer units are not remembered
+RANK_OFFSET = 100.0  # flattens the head of the frequencies by rank
+BYTE_COST = 10.0  # of a byte beyond the dearest piece
 UNKNOWN = object()  # neither a piece nor the start of one
 UNIT = re.compile(r" *[^ \n]+|\n| +")
 
@@ -83,10 +89,15 @@ def load(path: str = MODEL) -> Vocabulary:
             text = piece.replace("▁", " ")
             if len(UNIT.findall(text)) != 1:
                 raise ValueError(f"piece {piece!r} crosses a unit")
-            pieces[text] = (i, model.get_score(i))
+            pieces[text] = (i, rank_score(model.get_score(i)))
     # a byte costs more than any merged piece, as an unknown character does in the library
     lowest = min(s for _, s in pieces.values() if s > NEVER)
-    return Vocabulary(with_prefixes(pieces), by_byte, lowest - 10.0)
+    return Vocabulary(with_prefixes(pieces), by_byte, lowest - BYTE_COST)
+
+
+def rank_score(score: float) -> float:
+    """Log frequency by rank, up to a constant, from a merge score (minus the rank)."""
+    return score if score <= NEVER else -math.log(RANK_OFFSET - min(score, 0.0))
 
 
 def lattice(unit: str, vocabulary: Vocabulary) -> tuple[list[float], list[list]]:

@@ -168,3 +168,17 @@ def test_pieces_that_the_text_itself_quotes():
     encoder = pieces.Encoder(pieces.load(), 3)
     for text in ("<0x0A> </s> ▁ ▁x", "a\n\n  b \t c", "   ", "漢字🙂"):
         assert encoder.decode(encoder.encode(text)[0]) == text
+
+
+def test_best_segmentation_is_about_as_short_as_the_merges(spark, folder):
+    """Over the whole table at most 2 % more pieces than the library's merges, and no text above 10 % or 3."""
+    sentencepiece = pytest.importorskip("sentencepiece")
+    merges = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    own, library = 0, 0
+    for r in pieces.encode(docs).collect():
+        want = len(merges.encode(texts[r.doc_id]))
+        assert r.n_pieces <= max(1.1 * want, want + 3)
+        own, library = own + r.n_pieces, library + want
+    assert own <= 1.02 * library
