@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
-CACHE = 1 << 19  # units a task remembers; only a matter of speed
+CACHE = 1 << 20  # units a worker remembers; only a matter of speed
 NEVER = -1e8  # scores at or below mark pieces that the model does not mean to be chosen
 LONGEST = 48  # longer units are not remembered
 RANK_OFFSET = 100.0  # flattens the head of the frequencies by rank
@@ -276,10 +276,12 @@ def apply(ids: np.ndarray, edits: list) -> np.ndarray:
 
 def encode(docs: DataFrame, model: str = MODEL, n: int = N_BEST) -> DataFrame:
     """One row per document: ids, score and the further best segmentations, read back."""
-    shared = docs.sparkSession.sparkContext.broadcast(load(model).plain())
+    # what a worker makes of the broadcast stays with it, and with it the remembered units
+    shared = docs.sparkSession.sparkContext.broadcast({"plain": load(model).plain()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(*shared.value), n)
+        own = shared.value
+        encoder = own["encoder"] = own.get("encoder") or Encoder(Vocabulary(*own["plain"]), n)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
