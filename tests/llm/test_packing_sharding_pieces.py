@@ -91,16 +91,83 @@ def test_shards_are_even_and_keep_equal_texts_together(spark):
     assert len(linked) > 20 and all(len(set(g)) == 1 for g in linked)
 
 
-def test_a_hot_group_fills_shards_to_their_quota(make):
-    pairs = [(i, "same") for i in range(200)] + [(1000 + i, f"text {i // 2}") for i in range(200)] + [(i, f"u{i}") for i in range(2000, 2200)]
+def spread_of(rows, pairs):
+    """group -> members per shard."""
+    text, out = dict(pairs), {}
+    for r in rows:
+        out.setdefault(text[r.doc_id], {}).setdefault(r.shard, 0)
+        out[text[r.doc_id]][r.shard] += 1
+    return out
+
+
+def test_a_hot_group_fills_whole_shards_and_the_others_stay_whole(make):
+    """A third of the rows are one text; it takes a third of the shards, and pairs are not cut for it."""
+    pairs = [(i, "same") for i in range(400)] + [(1000 + i, f"text {i // 2}") for i in range(600)] + [(i, f"u{i}") for i in range(2000, 2200)]
+    rows = sharding.shard_documents(make(pairs)).collect()
+    check_shards(rows)
+    spread = spread_of(rows, pairs)
+    assert len(spread["same"]) <= 9
+    assert sum(len(own) == 1 for t, own in spread.items() if t.startswith("text")) >= 290
+
+
+def test_pairs_without_any_room_become_whole(make):
+    """Every document is linked and every shard is full: only opposite moves and circles are left."""
+    pairs = [(i, f"text {i // 2}") for i in range(480)]
     rows = sharding.shard_documents(make(pairs)).collect()
     check_shards(rows)
-    spread = sorted((sum(r.shard == s for r in rows if r.doc_id < 200) for s in range(24)), reverse=True)
-    assert sum(spread) == 200 and 15 <= spread[0] <= 25  # it starts with 8 or 9; the quota is 600 / 24
-    pairs_whole = sum(
-        len({r.shard for r in rows if r.doc_id in (1000 + 2 * k, 1001 + 2 * k)}) == 1 for k in range(100)
-    )
-    assert pairs_whole >= 80
+    assert sum(len(own) == 1 for own in spread_of(rows, pairs).values()) >= 0.95 * 240
+
+
+def cut_pairs(sizes):
+    """Linked pairs of a group in different shards."""
+    n = sum(sizes)
+    return (n * n - sum(k * k for k in sizes)) // 2
+
+
+def least_cut(groups, shards, caps):
+    """Fewest cut pairs over all ways to place groups, by trying all."""
+    seen = {tuple(caps): 0}
+    for n in groups:
+        after = {}
+        for left, cost in seen.items():
+            for own in itertools.product(range(n + 1), repeat=shards):
+                if sum(own) == n and all(k <= c for k, c in zip(own, left)):
+                    rest = tuple(c - k for c, k in zip(left, own))
+                    after[rest] = min(after.get(rest, 10**9), cost + cut_pairs(own))
+        seen = after
+    return min(seen.values())
+
+
+@pytest.mark.parametrize("groups,shards", [((2, 2, 2, 2, 2, 2), 3), ((5, 2, 2, 2), 2), ((3, 3, 3), 3), ((6, 3, 2, 1, 1), 3), ((8, 2, 2), 4), ((4, 4, 3, 1), 2)])
+def test_cut_is_near_the_least(make, groups, shards):
+    pairs = [(100 * g + i, f"text {g}") for g, n in enumerate(groups) for i in range(n)]
+    rows = sharding.shard_documents(make(pairs), shards).collect()
+    check_shards(rows, shards)
+    total = sum(groups)
+    caps = [total // shards + (s < total % shards) for s in range(shards)]
+    cut = sum(cut_pairs(own.values()) for own in spread_of(rows, pairs).values())
+    start = sum(cut_pairs([n // shards + (s < n % shards) for s in range(shards)]) for n in groups)
+    least = least_cut(groups, shards, caps)
+    assert least <= cut <= max(least + 3, (least + start) // 2)
+
+
+def test_flows_keep_every_shard_within_its_room():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        k = rng.integers(2, 7)
+        wished = rng.integers(0, 30, (k, k))
+        np.fill_diagonal(wished, 0)
+        room, whole = rng.integers(0, 4, k), rng.integers(0, 40, k)
+        kept, planned = sharding.planned_flows(wished, room, whole)
+        assert (kept <= wished).all() and (planned.sum(axis=1) <= whole).all()
+        flow = kept + planned
+        assert (flow.sum(axis=0) - flow.sum(axis=1) <= room).all()
+        actual = np.maximum(planned - rng.integers(0, 3, (k, k)), 0)
+        granted = sharding.feasible(kept, room, actual)
+        if granted is not None:
+            flow = granted + actual
+            assert (granted <= kept).all() and (flow.sum(axis=0) - flow.sum(axis=1) <= room).all()
+        assert sharding.feasible(wished, room, np.zeros_like(wished)) is not None
 
 
 def test_shards_of_awkward_documents(docs, texts, no_docs, make):
