@@ -355,9 +355,3 @@ def entity_cards(ranked: DataFrame, qualifying: DataFrame, ci_level: int) -> Dat
     )
     return cards.join(qualifying.select("zip", "allocation"), "zip", "left")
 
-
-def control_table(spark: SparkSession, params: ModelParams = ModelParams()) -> DataFrame:
-    """Tolerance labels and their lambda."""
-    return spark.createDataFrame(
-        list(params.risk_tolerance.items()), "risk_tolerance string, risk_lambda double"
-    )

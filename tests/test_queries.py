@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+import panelkit.plans.contract_queries  # noqa: F401
 import panelkit.plans.landing_queries  # noqa: F401
 import panelkit.plans.model_queries  # noqa: F401
 from panelkit.plans import oracle as panel_oracle
