@@ -1,5 +1,8 @@
 import re
+import textwrap
 
+import duckdb
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -130,6 +133,65 @@ def test_quality_without_trusted_or_documents(docs, labels, no_docs):
 FULL = "\n".join(licenses.SENTENCES[k] for k in ("mit-grant", "mit-notice", "mit-as-is"))
 
 
+def wrapped(text, mark, width=68):
+    """A text as a comment of wrapped lines."""
+    lines = []
+    for part in text.split("\n"):
+        lines += textwrap.wrap(part, width) or [""]
+    begin, middle, end = {"/*": ("/*", " *", " */"), "#": ("#", "#", "#"), "//": ("//", "//", "//"), "<!--": ("<!--", "", "-->")}[mark]
+    return "\n".join([begin, *(f"{middle} {line}".rstrip() for line in lines), end, "int main() { return 0; }"])
+
+
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. {bsd-source}\n\n2. {bsd-binary}\n"
+HEADERS = {
+    "MIT": "The MIT License (MIT)\n\nCopyright (c) 2020 Jane Doe\n\n{mit-grant}\n\n{mit-notice}\n\n{mit-as-is}",
+    "Apache-2.0": "Copyright 2019 The Authors. All rights reserved.\n{apache-notice}\n{apache-may-not}\n{apache-copy}\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n{apache-unless}\n{apache-see}",
+    "BSD-3-Clause": "Copyright (c) 2001, Somebody\nAll rights reserved.\n\n" + BSD + "\n3. {bsd-names}\n",
+    "BSD-2-Clause": "BSD 2-Clause License\nCopyright (c) 2001, Somebody\n\n" + BSD,
+    "GPL-3.0-or-later": "prog - does things\nCopyright (C) 2007 Jane Doe\n{gpl-terms}\n\n{gpl-warranty} without even the implied warranty of\nMERCHANTABILITY.",
+    "GPL-2.0-or-later": "Copyright (C) 1999 Jane Doe\n\n{free-program} {gpl-modify} {or-later-2}",
+    "GPL-2.0-only": "{free-program} {gpl-2-modify}",
+    "LGPL-2.1-or-later": "(c) 2004 Jane Doe\n{free-library} {lgpl-modify} {or-later-2.1}",
+    "LGPL-3.0-or-later": "{lgpl-terms}",
+    "AGPL-3.0-or-later": "Copyright 2015 X\n{agpl-terms}",
+    "MPL-2.0": "{mpl-terms} 2.0. {mpl-copy} https://mozilla.org/MPL/2.0/.",
+    "ISC": "ISC License\n\nCopyright 2011 Jane Doe\n\n{isc-grant}",
+    "Unlicense": "{unlicense}\n\nAnyone is free to copy.",
+    "CC0-1.0": "Written in 2019 by Jane Doe\n\n{cc0-waiver} This software is distributed without any warranty.",
+    "BSL-1.0": "Copyright Jane Doe 2005.\n{boost-short}\n(See accompanying file)",
+}
+
+
+@pytest.mark.parametrize("mark", ["/*", "#", "//", "<!--"])
+def test_headers_in_comments(make, mark):
+    """Whole headers of many licenses, wrapped and commented, also with line ends of two characters."""
+    full = {name: re.sub(r"\{([a-z0-9.-]+)\}", lambda m: licenses.SENTENCES[m[1]], text) for name, text in HEADERS.items()}
+    texts = {**full, **{f"spdx {n}": f"SPDX-License-Identifier: {n}\nCopyright 2020 X" for n in licenses.SPDX}}
+    rows = [(i, wrapped(t, mark)) for i, t in enumerate(texts.values())]
+    rows += [(1000 + i, t.replace("\n", "\r\n")) for i, t in rows]
+    got = {r.doc_id: r.licenses for r in licenses.scan(make(rows)).collect()}
+    names = [n.removeprefix("spdx ") for n in texts]
+    assert [got[i] for i in range(len(names))] == names
+    assert [got[1000 + i] for i in range(len(names))] == names
+
+
+def test_code_and_prose_have_no_license(make):
+    rows = [(1, "# distribution\n* software\n-- licensing terms differ\n/* permission denied */"), (2, "Copyright (c) 2020 X\nlicense unknown"),
+            (3, "x" * 1_000_000 + " license"), (4, "* " * 200_000 + "software"), (5, "MIT or not, a license is needed.")]
+    assert all(r.licenses == "" and r.n_sentences == 0 for r in licenses.scan(make(rows)).collect())
+
+
+def test_sql_reads_headers_alike(spark, make):
+    texts = [re.sub(r"\{([a-z0-9.-]+)\}", lambda m: licenses.SENTENCES[m[1]], t) for t in HEADERS.values()]
+    rows = [(i, wrapped(t, mark)) for i, (t, mark) in enumerate((t, m) for t in texts for m in ("/*", "#", "//", "<!--"))]
+    rows += [(500 + i, t.replace("\n", "\r\n")) for i, t in rows]
+    rows += [(2000, "\u2028* SPDX-License-Identifier: MIT\u0085"), (2001, "© X\nMIT License\n"), (2002, "a */"), (2003, " * b */\n\n*/")]
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]}))
+    want = sorted(con.execute(licenses.oracle_sql()).fetchall())
+    assert sorted(tuple(r) for r in licenses.scan(make(rows)).collect()) == want
+
+
 def test_licenses(make, docs, no_docs):
     wrapped = FULL.replace(" copy of", "\ncopy  of").replace("Software is", "Software\nis")
     rows = make(
