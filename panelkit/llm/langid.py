@@ -4,14 +4,20 @@ A text becomes a vector of hashed letter n-grams (1 to 3 bytes of the lower-case
 all that is not a letter being one separator), weighted by log term frequency and inverse
 document frequency and scaled to length 1. Each language has ``CENTROIDS`` centroids from
 spherical clustering; a text gets the language of the centroid with the highest cosine.
-If the distance (1 - cosine) exceeds that centroid's limit, the text is rejected.
+If the distance (1 - cosine) exceeds the limit, the text is rejected. Short texts lie farther,
+so the limit has a part for long texts and one that falls with the root of the number of
+characters. Both are high quantiles over all training rows, not the worst row, and lie within
+fixed bounds, so that they hardly depend on the sample. Languages that were not taught, random
+letters and base64 are beyond them at any length; random hexadecimal digits and program code are
+about as far as junk among the labelled rows and are mostly kept.
 
 The model is fitted on at most ``PER_LANGUAGE`` labelled rows of a language and ``SAMPLE``
 rows in all, those with the smallest hash of doc_id, of documents outside the held-out
 fifth; so what reaches the driver has a fixed bound. Every text is predicted as a whole.
 
 Defined results: NULL text and text without a letter are ``und`` with score 0 and are
-rejected. Rows with NULL lang teach nothing; NULL doc_id counts as the text ''. Without
+rejected. Repeated rows are predicted each and teach once; an empty table gives no rows; texts of
+any length are read whole, in blocks; further columns do not matter. Rows with NULL lang teach nothing; NULL doc_id counts as the text ''. Without
 any labelled row all texts are ``und``. Ties go to the alphabetically first language.
 """
 
@@ -33,9 +39,11 @@ DIMS_LOG2 = 12
 CENTROIDS = 4
 PER_LANGUAGE, SAMPLE = 512, 2048
 ROUNDS = 12
-SLACK = 1.5  # a limit is this times the largest distance seen in training, up to FARTHEST,
-FARTHEST = 0.8  # plus SHORT by the root of the number of characters, as short texts lie farther
-SHORT = 1.0
+KEPT = 0.999  # quantile of the training distances that the limits keep
+SLACK = 1.1  # times the quantile
+NEAREST, FARTHEST = 0.65, 0.72  # bounds of the limit of long texts
+SHORT = 1.0  # least part for short texts
+LONG = 300  # characters from which the length of a text hardly matters
 
 LETTER = re.compile(r"[^\W\d_]")
 def has_letter(text: str | None) -> bool:
@@ -50,7 +58,15 @@ class Model:
     languages: list[str]  # of each centroid
     idf: np.ndarray
     centroids: np.ndarray
-    limits: np.ndarray
+    limit: float  # of long texts
+    short: float  # beyond that, by the root of the number of characters
+
+
+def limits_of(distances: np.ndarray, sizes: np.ndarray) -> tuple[float, float]:
+    """(limit of long texts, what a text of one character may lie farther)."""
+    long = distances[sizes >= LONG] if (sizes >= LONG).any() else distances
+    limit = float(np.clip(SLACK * np.quantile(long, KEPT), NEAREST, FARTHEST))
+    return limit, max(SHORT, SLACK * float(np.quantile((distances - limit) * np.sqrt(sizes), KEPT)))
 
 
 def gram_counts(text: str) -> np.ndarray:
@@ -93,7 +109,7 @@ def held_out():
 
 
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, rows: int = SAMPLE) -> DataFrame:
-    """lang and gram counts of the bounded training sample."""
+    """lang, size and gram counts of the bounded training sample."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     token = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
     order = Window.partitionBy("lang").orderBy("token", "doc_id")
@@ -103,14 +119,19 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, rows: int = SAMPLE
     near = usable.select("doc_id", "lang", token.alias("token")).join(F.broadcast(below), "lang").filter("token < below")
     ranked = near.select("doc_id", "lang", F.row_number().over(order).alias("rank"))
     few = ranked.filter(F.col("rank") <= per_language).orderBy("rank", "lang", "doc_id").limit(rows)
-    chosen = usable.select("doc_id", "lang", "text").join(F.broadcast(few.distinct()), ["doc_id", "lang"])
+    chosen = usable.select("doc_id", "lang", "text").join(F.broadcast(few.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             b = b[[has_letter(t) for t in b["text"]]]
-            yield pd.DataFrame({"lang": b["lang"], "grams": [gram_counts(t).tobytes() for t in b["text"]]})
+            made = [gram_counts(t).tobytes() for t in b["text"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "lang": b["lang"], "size": b["text"].str.len(), "grams": made})
 
-    return chosen.mapInPandas(grams, "lang string, grams binary").limit(rows)
+    made = chosen.select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "text").mapInPandas(
+        grams, "doc_id string, lang string, size long, grams binary"
+    )
+    # of repeated rows one, and the same ones if ids with several texts go beyond the bound
+    return made.distinct().orderBy("lang", "doc_id", "size", "grams").limit(rows).drop("doc_id")
 
 
 def fit(docs: DataFrame) -> Model:
@@ -121,16 +142,15 @@ def fit(docs: DataFrame) -> Model:
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
     x = vectors(counts, idf)
     names: list[str] = []
-    centres, limits = [np.zeros((0, width), dtype=np.float32)], []
+    centres, distances = [np.zeros((0, width), dtype=np.float32)], np.zeros(len(x))
     for lang in sorted(taught["lang"].unique()):
         own = x[(taught["lang"] == lang).to_numpy()]
         made = cluster(own, CENTROIDS)
-        cosine = own @ made.T
-        worst = 1 - cosine.max(axis=1).min()
+        distances[(taught["lang"] == lang).to_numpy()] = 1 - (own @ made.T).max(axis=1)
         names += [lang] * len(made)
         centres.append(made)
-        limits += [min(FARTHEST, SLACK * worst)] * len(made)
-    return Model(names, idf, np.concatenate(centres).astype(np.float32), np.array(limits))
+    limit, short = limits_of(distances, taught["size"].to_numpy()) if len(x) else (0.0, 0.0)
+    return Model(names, idf, np.concatenate(centres).astype(np.float32), limit, short)
 
 
 def predictor(model: Model):
@@ -149,8 +169,7 @@ def predictor(model: Model):
             best[some] = cosine.argmax(axis=1)
             score[some] = np.clip(cosine.max(axis=1), 0, 1)
         names = [model.languages[j] if ok else "und" for j, ok in zip(best, found)]
-        short = np.array([SHORT / np.sqrt(len(t)) if ok else 0.0 for t, ok in zip(texts, found)])
-        limit = np.array([model.limits[j] if ok else -1.0 for j, ok in zip(best, found)]) + short
+        limit = np.array([model.limit + model.short / np.sqrt(len(t)) if ok else -1.0 for t, ok in zip(texts, found)])
         return pd.DataFrame(
             {"lang_pred": names, "score": score, "distance": 1 - score, "rejected": 1 - score > limit}
         )

@@ -1,8 +1,11 @@
 import hashlib
+import random
 import re
+import string
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelkit.llm import langid, secrets
 from panelkit.llm.queries import QUERIES
@@ -169,3 +172,54 @@ def test_noise_is_rejected_and_prose_is_kept(spark):
     noise = ["漢字漢字日本語の文章です。これは別の言語。" * 3, "Ζαλίζω την ξεσκεπάζω ψυχοφθόρα βδελυγμία " * 3]
     rows = spark.createDataFrame([(t,) for t in noise], "text string").select(judge("text").alias("f")).collect()
     assert all(r.f.rejected for r in rows)
+
+
+POLISH = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem. "
+FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto. "
+
+
+def test_noise_and_other_languages_are_rejected(spark):
+    """Latin letters too, at any length; of each kind 95 % go, of the held-out rows 99 % stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    judge = langid.predictor(langid.fit(docs))
+    rng = random.Random(4)
+    made = []
+    for size in [40, 60, 120, 300, 1000, 5000, 60_000]:
+        for _ in range(6):
+            at = rng.randrange(100)
+            made += [
+                ("base64", "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=size))),
+                ("letters", "".join(rng.choices(string.ascii_lowercase + "     ", k=size))),
+                ("polish", (POLISH * (2 + size // 100))[at:][:size]),
+                ("finnish", (FINNISH * (2 + size // 100))[at:][:size]),
+            ]
+    rows = spark.createDataFrame(made, "kind string, text string").select("kind", judge("text").alias("f"))
+    share = {r.kind: r.s for r in rows.groupBy("kind").agg(F.avg(F.col("f.rejected").cast("double")).alias("s")).collect()}
+    assert len(share) == 4 and all(s >= 0.95 for s in share.values())
+    held = docs.filter(langid.held_out() & F.col("text").rlike("[A-Za-z]")).select(judge("text").alias("f"))
+    assert held.agg(F.avg((~F.col("f.rejected")).cast("double"))).first()[0] >= 0.99
+
+
+@pytest.mark.parametrize("left_out", ["fr", "de", "es"])
+def test_a_language_that_was_not_taught_is_rejected(spark, left_out):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    judge = langid.predictor(langid.fit(docs.withColumn("lang", F.when(F.col("lang") != left_out, F.col("lang")))))
+    own = docs.filter((F.col("lang") == left_out) & (F.length("text") >= 200)).select(judge("text").alias("f"))
+    assert own.agg(F.avg(F.col("f.rejected").cast("double"))).first()[0] >= 0.95
+
+
+def test_repeated_rows_teach_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    again = docs.unionByName(docs.filter("doc_id % 3 = 0")).unionByName(docs.filter("doc_id < 40")).repartition(7)
+    a, b = langid.fit(docs), langid.fit(again)
+    assert a.languages == b.languages
+    assert [x.languages for x in (langid.fit(again.repartition(3)),)] == [b.languages]
+    assert langid.fit(again.repartition(3)).centroids.tobytes() == b.centroids.tobytes()
+
+
+def test_a_megabyte_and_one_unbroken_word(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    judge = langid.predictor(langid.fit(docs))
+    text = docs.filter("lang = 'en' and n_chars > 500").orderBy("doc_id").first().text
+    rows = spark.createDataFrame([((text + "\n") * (1_000_000 // len(text)),), ("q" * 1_000_000,)], "text string").select(judge("text").alias("f")).collect()
+    assert rows[0].f.lang_pred == "en" and not rows[0].f.rejected and rows[1].f.rejected
