@@ -41,7 +41,8 @@ MEMORY = 1 << 20  # pre-tokens a worker remembers
 REMEMBERED = 64  # longer pre-tokens are not remembered
 RUN = 1 << 16  # matches of a very long text that are held at a time
 LONG = 1 << 20  # characters from which a text counts as very long
-WORD = 256  # ranks per word of the lower bitmap
+SHIFT = 8  # the lower bitmap has words of 2^SHIFT ranks
+MASK = (1 << SHIFT) - 1
 
 ENCODED = "doc_id bigint, ids array<int>, n_tokens bigint"
 DECODED = "doc_id bigint, ids array<int>, n_tokens bigint, bytes binary"
@@ -53,33 +54,38 @@ def load(path: str = MODEL) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, lines))}
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+def pair_table(ranks: dict[bytes, int]) -> list[int | None]:
+    """Rank of every pair of bytes, by 256 times the first plus the second."""
+    return [ranks.get(bytes((a, b))) for a in range(256) for b in range(256)]
+
+
+def merge(piece: bytes, ranks: dict[bytes, int], pairs: list[int | None] | None = None) -> list[int]:
     """Ids of one pre-token."""
     if piece in ranks:
         return [ranks[piece]]
     get, size = ranks.get, len(piece)
+    pairs = pair_table(ranks) if pairs is None else pairs
     ends = list(range(1, size + 1))  # where the part that starts here ends, and so the next one starts
     before = list(range(-1, size - 1))  # where the part before starts
-    pair: list[int | None] = [None] * size  # rank of the pair that starts here
+    pair = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]  # rank of the pair that starts here
+    pair.append(None)
     top, words, buckets = 0, {}, {}
-    for at in range(size - 1):
-        rank = get(piece[at : at + 2])
+    for at, rank in enumerate(pair):
         if rank is not None:
-            pair[at] = rank
             if rank in buckets:
                 buckets[rank].append(at)
             else:
                 buckets[rank] = [at]
-                word = rank // WORD
-                words[word] = words.get(word, 0) | 1 << rank % WORD
+                word = rank >> SHIFT
+                words[word] = words.get(word, 0) | 1 << (rank & MASK)
                 top |= 1 << word
     while top:
         word = (top & -top).bit_length() - 1
         bits = words[word]
         first = bits & -bits
-        rank = word * WORD + first.bit_length() - 1
+        rank = (word << SHIFT) + first.bit_length() - 1
         bucket = buckets[rank]
-        at = heappop(bucket)
+        at = heappop(bucket) if len(bucket) > 1 else bucket.pop()
         if not bucket:
             words[word] = bits = bits ^ first
             if not bits:
@@ -93,25 +99,33 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         left = before[at]
         if end < size:
             before[end] = at
-            seen = ((at, ends[end]), (left, end)) if left >= 0 else ((at, ends[end]),)
-        else:
-            seen = ((left, end),) if left >= 0 else ()
-        for start, stop in seen:
-            rank = get(piece[start:stop])
-            pair[start] = rank
+            rank = get(piece[at : ends[end]])
+            if rank is not None:
+                pair[at] = rank
+                bucket = buckets.get(rank)
+                if bucket:
+                    heappush(bucket, at)
+                else:
+                    buckets[rank] = [at]
+                    word = rank >> SHIFT
+                    words[word] = words.get(word, 0) | 1 << (rank & MASK)
+                    top |= 1 << word
+        if left >= 0:
+            rank = pair[left] = get(piece[left:end])
             if rank is not None:
                 bucket = buckets.get(rank)
                 if bucket:
-                    heappush(bucket, start)
+                    heappush(bucket, left)
                 else:
-                    buckets[rank] = [start]
-                    word = rank // WORD
-                    words[word] = words.get(word, 0) | 1 << rank % WORD
+                    buckets[rank] = [left]
+                    word = rank >> SHIFT
+                    words[word] = words.get(word, 0) | 1 << (rank & MASK)
                     top |= 1 << word
     out, at = [], 0
     while at < size:
-        out.append(ranks[piece[at : ends[at]]])
-        at = ends[at]
+        end = ends[at]
+        out.append(ranks[piece[at:end]])
+        at = end
     return out
 
 
@@ -120,10 +134,10 @@ class Pieces(dict):
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.pairs = ranks, pair_table(ranks)
 
     def __missing__(self, name: str) -> bytes:
-        packed = array("i", merge(name.encode(), self.ranks)).tobytes()
+        packed = array("i", merge(name.encode(), self.ranks, self.pairs)).tobytes()
         if len(name) <= REMEMBERED:
             if len(self) >= MEMORY:
                 self.clear()
@@ -164,28 +178,44 @@ def sliced(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterato
             yield batch.slice(at, rows)
 
 
-def encode(docs: DataFrame, model: str = MODEL, pattern: str = PATTERN) -> DataFrame:
-    """One row per document: doc_id, ids and their number."""
+def decoded(lists: pa.ListArray, texts: list[bytes]) -> pa.Array:
+    """The bytes that each list of ids stands for."""
+    ids = lists.flatten().fill_null(-1).to_numpy()
+    ends = [0, *np.cumsum(pc.list_value_length(lists).fill_null(0)).tolist()]
+    made = []
+    for start, end in pairwise(ends):
+        own = ids[start:end]
+        if own.size and (own.min() < 0 or own.max() >= len(texts)):
+            own = own[(own >= 0) & (own < len(texts))]
+        made.append(b"".join(map(texts.__getitem__, own.tolist())))
+    return pa.array(made, type=pa.binary())
+
+
+def encode(docs: DataFrame, model: str = MODEL, pattern: str = PATTERN, read_back: bool = False) -> DataFrame:
+    """One row per document: doc_id, ids and their number.
+
+    With ``read_back`` also the bytes that the ids decode to, made from the ids by the same
+    worker: what ``decode`` would add, without moving the ids once more.
+    """
     # what a worker makes of the broadcast stays with it, and with it the remembered pre-tokens
     shared = docs.sparkSession.sparkContext.broadcast({"ranks": load(model)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        encoder = own.setdefault("encoder", None) or Encoder(own["ranks"], pattern)
-        own["encoder"] = encoder
+        if "encoder" not in own:
+            own["encoder"], own["texts"] = Encoder(own["ranks"], pattern), token_texts(own["ranks"])
+        encoder = own["encoder"]
         for part in sliced(batches, 1, 1 << 22):
             packed = [encoder.encode(t or "") for t in part.column(1).to_pylist()]
-            sizes = [len(p) // 4 for p in packed]
-            ids = pa.Array.from_buffers(pa.int32(), sum(sizes), [None, pa.py_buffer(b"".join(packed))])
-            offsets = [0]
-            for size in sizes:
-                offsets.append(offsets[-1] + size)
-            lists = pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), ids)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), lists, pa.array(sizes, type=pa.int64())], names=["doc_id", "ids", "n_tokens"]
-            )
+            sizes = np.array([len(p) // 4 for p in packed], dtype=np.int64)
+            ids = pa.Array.from_buffers(pa.int32(), int(sizes.sum()), [None, pa.py_buffer(b"".join(packed))])
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), type=pa.int32()), ids)
+            made = {"doc_id": part.column(0), "ids": lists, "n_tokens": pa.array(sizes)}
+            if read_back:
+                made["bytes"] = decoded(lists, own["texts"])
+            yield pa.RecordBatch.from_pydict(made)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ENCODED)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, DECODED if read_back else ENCODED)
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
@@ -193,19 +223,9 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(token_texts(load(model)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = shared.value
         for part in sliced(batches, 1, 1 << 22):
-            lists = part.column(1)
-            ids, ends = lists.flatten().fill_null(-1).to_numpy(), [0, *np.cumsum(pc.list_value_length(lists).fill_null(0)).tolist()]
-            made = []
-            for start, end in pairwise(ends):
-                own = ids[start:end]
-                if own.size and (own.min() < 0 or own.max() >= len(texts)):
-                    own = own[(own >= 0) & (own < len(texts))]
-                made.append(b"".join(map(texts.__getitem__, own.tolist())))
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(made, type=pa.binary())], names=["doc_id", "ids", "n_tokens", "bytes"]
-            )
+            columns = [*part.columns, decoded(part.column(1), shared.value)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_tokens", "bytes"])
 
     return encoded.select("doc_id", "ids", "n_tokens").mapInArrow(run, DECODED)
 

@@ -127,7 +127,7 @@ def op10_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_bitmap_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text and the bytes they decode to, as digests."""
-    made = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    made = bpe.encode(table(spark, sf_dir, "documents"), read_back=True)
     return made.select(
         "doc_id",
         "n_tokens",

@@ -99,6 +99,8 @@ def test_rows(docs, no_docs, texts, library):
     assert sorted(((r.doc_id, r.ids, bytes(r.bytes)) for r in rows), key=repr) == want
     assert all(r.n_tokens == len(r.ids) for r in rows)
     assert bpe.decode(bpe.encode(no_docs)).count() == 0
+    again = bpe.encode(docs, read_back=True).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, rows)) and bpe.encode(no_docs, read_back=True).count() == 0
 
 
 def test_ids_outside_the_vocabulary(spark):
