@@ -2,6 +2,12 @@
 
 ``run`` writes the result of every stage as Parquet into the shared folder and reads it
 again, so a lost executor never repeats earlier stages.
+
+Defined results: documents with NULL text or without a letter have no language and go in the
+first stage. Of equal texts, and of texts linked by their fingerprints, the smallest doc_id
+stays; ids that are NULL count as the smallest. Repeated rows are equal texts. Texts of any length are
+read and redacted whole, further columns are carried to the last stage, and an empty table
+gives no rows.
 """
 
 from __future__ import annotations
