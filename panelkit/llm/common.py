@@ -60,6 +60,11 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     return found.dropDuplicates(list(KEY)).select("whole.*")
 
 
+def runs_for(rows: int) -> int:
+    """Runs for ``numbered`` that hold about 50,000 rows each, within what may be broadcast."""
+    return max(1024, min(1 << 15, rows // 50_000))
+
+
 def numbered(df: DataFrame, by: str, order: list[str], name: str, runs: int = 1024) -> DataFrame:
     """Gapless position from 0 within each value of ``by``, without one task per value.
 

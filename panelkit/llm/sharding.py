@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from panelkit.llm.common import numbered
+from panelkit.llm.common import numbered, runs_for
 from panelkit.staging import stage
 
 SHARDS = 24
@@ -306,7 +306,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     total = rows.count()
     groups = stage(rows.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "groups")
     linked = rows.join(groups, "group").select("row", "group")
-    even = numbered(linked.withColumn("all", F.lit(0)), "all", ["row"], "place")
+    even = numbered(linked.withColumn("all", F.lit(0)), "all", ["row"], "place", runs_for(total))
     begun = even.select("group", (F.col("place") % shards).cast("int").alias("shard"))
     entries = stage(begun.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n")), "entries")
     found = {r.shard: r.n for r in entries.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
@@ -317,10 +317,10 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     placed = stage(placed_rows(linked, entries), "placed")
     found = {r.shard: r.n for r in placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     ends = list(accumulate(caps[s] - found.get(s, 0) for s in range(shards)))
-    single = numbered(rows.join(groups, "group", "left_anti").select("row", F.lit(0).alias("all")), "all", ["row"], "place")
+    single = numbered(rows.join(groups, "group", "left_anti").select("row", F.lit(0).alias("all")), "all", ["row"], "place", runs_for(total))
     filled = single.select("row", F.size(F.filter(number_list(ends), lambda e: e <= F.col("place"))).alias("shard"))
     everyone = stage(placed.unionByName(filled), "shards")
-    slots = numbered(everyone, "shard", ["row"], "slot")
+    slots = numbered(everyone, "shard", ["row"], "slot", runs_for(total // shards))
     return rows.join(slots, "row").select(
         "doc_id",
         "size",
