@@ -28,6 +28,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,10 @@ class Vocabulary:
     bytes: list[int]
     byte_score: float
 
+    @cached_property
+    def longest(self) -> int:
+        return max(map(len, self.pieces), default=0)
+
     def plain(self) -> tuple:
         """Built-in types only, which executors without this package can read."""
         return self.pieces, self.bytes, self.byte_score
@@ -125,7 +130,19 @@ def lattice(unit: str, vocabulary: Vocabulary) -> tuple[list[float], list[list]]
     return best, arcs
 
 
-def first_and_gap(unit: str, vocabulary: Vocabulary) -> tuple[float, list[int], float]:
+def trie_of(vocabulary: Vocabulary) -> dict[str, tuple]:
+    """Pieces by character: (what may follow, id or -1, score)."""
+    root: dict[str, tuple] = {}
+    nodes = {"": root}
+    for piece in sorted(vocabulary.pieces, key=len):
+        own = vocabulary.pieces[piece]
+        i, score = own if own is not None else (-1, 0.0)
+        nodes[piece] = {}
+        nodes[piece[:-1]][piece[-1]] = (nodes[piece], i, score)
+    return root
+
+
+def first_and_gap(unit: str, vocabulary: Vocabulary, trie: dict[str, tuple] | None = None) -> tuple[float, list[int], float]:
     """Score and ids of the best segmentation and the loss of the second best.
 
     These are the first steps of the A* search without its heap: walking the best path
@@ -133,25 +150,29 @@ def first_and_gap(unit: str, vocabulary: Vocabulary) -> tuple[float, list[int],
     the forward scores are exact, the best of those is the second best segmentation. So
     the forward pass only keeps, for every position, the best arc and the runner-up.
     """
-    get, size = vocabulary.pieces.get, len(unit)
+    root, size = trie_of(vocabulary) if trie is None else trie, len(unit)
+    reach = vocabulary.longest
     worst = float("-inf")
     best, second, arc = [worst] * (size + 1), [worst] * (size + 1), [None] * (size + 1)
     best[0] = 0.0
     for a in range(size):
-        reached = best[a]
-        for b in range(a + 1, size + 1):
-            piece = get(unit[a:b], UNKNOWN)
-            if piece is UNKNOWN:
+        reached, follow, b = best[a], root, a
+        for sign in unit[a : a + reach]:
+            node = follow.get(sign)
+            if node is None:
                 break
-            if piece is not None:
-                value = reached + piece[1]
+            follow, i, score = node
+            b += 1
+            if i >= 0:
+                value = reached + score
                 if value > best[b]:
                     second[b] = best[b]
                     best[b] = value
-                    arc[b] = (a, piece[0])
+                    arc[b] = (a, i)
                 elif value > second[b]:
                     second[b] = value
-        if get(unit[a]) is None:
+        alone = root.get(unit[a])
+        if alone is None or alone[1] < 0:
             ids = [vocabulary.bytes[c] for c in unit[a].encode()]
             value = reached + vocabulary.byte_score * len(ids)
             if value > best[a + 1]:
@@ -219,13 +240,17 @@ class Units(dict):
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.trie = vocabulary, trie_of(vocabulary)
+        self.older: dict[str, tuple[bytes, float, float]] = {}
 
     def __missing__(self, unit: str) -> tuple[bytes, float, float]:
-        score, ids, gap = first_and_gap(unit, self.vocabulary)
-        made = (array("i", ids).tobytes(), score, gap)
+        made = self.older.get(unit)
+        if made is None:
+            score, ids, gap = first_and_gap(unit, self.vocabulary, self.trie)
+            made = (array("i", ids).tobytes(), score, gap)
         if len(unit) <= LONGEST:
-            if len(self) >= CACHE:
+            if len(self) >= CACHE // 2:  # what was not asked for since the last turn is forgotten
+                self.older = dict(self)
                 self.clear()
             self[unit] = made
         return made
@@ -237,9 +262,20 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, n: int):
         self.vocabulary, self.n, self.units = vocabulary, n, Units(vocabulary)
         self.texts = vocabulary.texts()
+        self.known: dict[str, list[tuple[float, bytes]]] = {}
 
     def changes(self, unit: str, best: bytes) -> list[tuple[float, bytes]]:
         """(loss, ids) of the segmentations of a unit after the best one."""
+        made = self.known.get(unit)
+        if made is None:
+            made = self.changes_of(unit, best)
+            if len(unit) <= LONGEST:
+                if len(self.known) >= CACHE // 16:
+                    self.known.clear()
+                self.known[unit] = made
+        return made
+
+    def changes_of(self, unit: str, best: bytes) -> list[tuple[float, bytes]]:
         found = [(score, array("i", ids).tobytes()) for score, ids in n_best(unit, self.vocabulary, self.n)]
         return [(found[0][0] - score, ids) for score, ids in found if ids != best][: self.n - 1]
 
