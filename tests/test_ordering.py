@@ -106,6 +106,24 @@ def test_trailing_cells_both_ways_and_by_hand(spark):
             assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:])
 
 
+def test_trailing_tasks_follow_the_rows_and_batches_cut_no_key(spark, monkeypatch):
+    from panelkit.operators import trailing
+
+    data = [(k, m, float(i % 5) if i % 9 else None) for k in range(40) for i, m in enumerate([1, 2, 2, 4, None, 9] * (1 + k % 4))]
+    df = stage(spark.createDataFrame(data, "k int, m int, v double"), "t")
+    args = (["k"], "m", {"mid": "v"}, {"total": F.col("v")}, (3, 1))
+    want = sorted(map(str, trailing_cells(df, *args).collect()))
+    monkeypatch.setattr(trailing, "BATCH_ROWS", 1)
+    monkeypatch.setattr(trailing, "TASK_ROWS", 100)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        small = trailing_cells(df, *args, rows=650)
+        assert small.rdd.getNumPartitions() == 7
+        assert sorted(map(str, small.collect())) == want and len(want) == 40 * 13
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_windows_do_not_copy_rows_before_the_exchange(spark, folder):
     from panelkit.sources import bind
 
