@@ -249,3 +249,21 @@ def test_ridge_parts_add_up(table):
     model = ridge.fit_ridge(table, COLUMNS, 1.0)
     error = attribution.additivity_error(attribution.ridge_contributions(model, table)).first()
     assert error.rows == table.count() and error.max_error < 1e-12
+
+
+def test_histograms_need_no_memory_that_follows_rows_and_features():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    bins, slot = rng.integers(0, trees.BINS, (200_000, 24)).astype(np.uint8), rng.integers(-1, 3, 200_000)
+    g, w = rng.integers(-1000, 1000, 200_000).astype(float), rng.integers(0, 3, 200_000).astype(float)
+    tracemalloc.start()
+    hist = trees.histograms(bins, slot, 3, g, w)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 12e6
+    for k in range(3):
+        own = slot == k
+        for j in (0, 23):
+            assert np.array_equal(hist[0, k, j], np.bincount(bins[own, j], g[own], trees.BINS))
+            assert np.array_equal(hist[1, k, j], np.bincount(bins[own, j], w[own], trees.BINS))
