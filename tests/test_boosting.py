@@ -267,3 +267,68 @@ def test_histograms_need_no_memory_that_follows_rows_and_features():
         for j in (0, 23):
             assert np.array_equal(hist[0, k, j], np.bincount(bins[own, j], g[own], trees.BINS))
             assert np.array_equal(hist[1, k, j], np.bincount(bins[own, j], w[own], trees.BINS))
+
+
+def moving_together(rows=20_000):
+    """Bins of a month, three features of the month, and two features of their own."""
+    rng = np.random.default_rng(11)
+    month = rng.integers(0, 40, rows)
+    own = rng.integers(0, trees.BINS, (rows, 2))
+    macro = [rng.integers(0, trees.BINS, 40)[month] for _ in range(3)]
+    return np.stack([own[:, 0], *macro, own[:, 1], month], axis=1).astype(np.uint8)
+
+
+@pytest.mark.parametrize("most", [1000, 2**30], ids=["packed", "apart"])
+@pytest.mark.parametrize("slots", [3, 200])
+def test_features_that_move_together_are_counted_once(slots, most):
+    bins = np.asfortranarray(moving_together())
+    bundles = trees.Bundles.of(bins)
+    assert bundles.codes.shape[1] == 3 and sorted(j for m in bundles.members for j, _ in m) == list(range(6))
+    rng = np.random.default_rng(2)
+    slot, g = rng.integers(-1, slots, len(bins)), rng.integers(-most, most, len(bins)).astype(float)
+    for w in (None, rng.integers(0, 4, len(bins)).astype(np.uint8)):
+        made = trees.histograms(bins, slot, slots, g, w, None, bundles)
+        assert np.array_equal(made, trees.histograms(np.ascontiguousarray(bins), slot, slots, g, w))
+        for k, j in itertools.product((0, slots - 1), range(6)):
+            own = slot == k
+            assert np.array_equal(made[0, k, j], np.bincount(bins[own, j], g[own], trees.BINS))
+            assert np.array_equal(made[1, k, j], np.bincount(bins[own, j], None if w is None else w[own], trees.BINS))
+
+
+def test_a_gradient_that_is_no_number_gives_no_split():
+    bins, g = moving_together(500), np.full(500, np.nan)
+    tree, _ = trees.grow_tree(bins, g, None, np.arange(500), TreeSettings(depth=3))
+    assert tree.feature == [-1]
+
+
+def test_trees_of_a_forest_are_spread_over_tasks(samples, monkeypatch):
+    rows, _ = samples
+    names = ("setting", "sample", "rounds", "zip", "month", "target", "prediction")
+    nodes = ("sample", "tree", "node", "feature", "left", "right", "value", "cover")
+    made = {}
+    for number in (2, 100):
+        monkeypatch.setattr(boosting, "TREES", number)
+        held = boosting.held_out_predictions(rows.union(rows), COLUMNS, FOREST, [(1, 3, 5)], seed=7)
+        fit = boosting.fit_nodes(rows, COLUMNS, FOREST, 7)
+        made[number] = values(held.where("target IS NOT NULL"), *names), values(fit, *nodes)
+    assert made[2] == made[100]  # copies of rows stay rows of their own
+    assert held.count() == 2 * 3 * 3 * 12
+    job = boosting.Job((), tuple([SETTINGS[0], FOREST[0]]), (), {1: None, 2: None}, 1.0, 0)
+    monkeypatch.setattr(boosting, "TREES", 2)
+    tasks = boosting._group_tasks(job)
+    assert len(tasks) == 2 + 2 * 3
+    assert sorted(n for s, k, numbers in tasks if (s, k) == (1, 1) for n in numbers) == list(range(5))
+
+
+def test_splits_of_a_wide_tree_need_no_memory_that_follows_its_nodes():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    hist = rng.integers(0, 50, (2, 512, 8, trees.BINS)).astype(float)
+    tracemalloc.start()
+    made = trees.best_splits(hist, 1.0, 1.0)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < hist.nbytes
+    one = trees.best_splits(hist[:, 300:301], 1.0, 1.0)
+    assert all(one[k][0] == made[k][300] for k in made)
