@@ -295,6 +295,47 @@ def test_features_that_move_together_are_counted_once(slots, most):
             assert np.array_equal(made[1, k, j], np.bincount(bins[own, j], None if w is None else w[own], trees.BINS))
 
 
+@pytest.mark.parametrize("steep", [1, 2**24, 2**26], ids=["flat", "full", "steep"])
+@pytest.mark.parametrize("drawn", [False, True], ids=["once", "drawn"])
+def test_two_columns_are_counted_as_one(steep, drawn):
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, trees.BINS, (60_000, 5)).astype(np.uint8)
+    bins[:50_000, :2] = 7  # cells that are emptied before their sums get too long for a double
+    bins = np.asfortranarray(bins)
+    bundles = trees.Bundles.of(bins).pairs()
+    assert bundles.joint.shape[1] < len(bundles.widths) == bins.shape[1]
+    g = rng.choice([-steep, steep], len(bins)).astype(float)
+    w = rng.integers(0, 9, len(bins)).astype(np.uint8) if drawn else None
+    for rows in (np.arange(len(bins)), np.flatnonzero(rng.random(len(bins)) < 0.7), np.arange(0)):
+        made = trees.joint_histogram(rows, g, w, bundles, float(steep))
+        slot = np.zeros(len(rows), dtype=np.int32)
+        assert np.array_equal(made, trees.histograms(bins, slot, 1, g, w, rows))
+
+
+@pytest.mark.parametrize("s", [TreeSettings(rounds=3, depth=6), TreeSettings(rounds=3, depth=5, quantile=0.9), TreeSettings(rounds=3, depth=7, l2=0.0, averaged=True, share=0.4)])
+def test_counting_columns_together_changes_no_tree(s, monkeypatch):
+    rng = np.random.default_rng(8)
+    bins = np.asfortranarray(np.column_stack([moving_together(30_000), rng.integers(0, trees.BINS, (30_000, 2))]).astype(np.uint8))
+    y = bins[:, 0] / 66 + rng.normal(size=len(bins)) / 9
+    train, hashes = rng.random(len(bins)) < 0.9, rng.integers(-(2**62), 2**62, len(bins))
+    made = []
+    for least in (500, 10**9):
+        monkeypatch.setattr(trees, "JOINT_ROWS", least)
+        _, *rounds = trees.boost(bins, y, train, hashes, s, 3, 4.0)
+        made.append([(t.feature, t.bin, t.missing_left, t.total, t.cover, t.value.tolist(), p.tolist()) for t, p in rounds])
+        for t, _ in rounds:
+            assert len(t.feature) > 3
+    assert made[0] == made[1]
+    held = [p for _, p in trees.boost(bins, y, train, hashes, s, 3, 4.0, whole=False)][-1]
+    assert np.array_equal(held[~train], np.array(made[0][-1][-1])[~train])
+
+
+def test_a_gradient_that_is_no_number_gives_no_split_of_a_large_node():
+    bins, g = np.asfortranarray(moving_together()), np.full(20_000, np.nan)
+    tree, _ = trees.grow_tree(bins, g, None, np.arange(20_000), TreeSettings(depth=3), trees.Bundles.of(bins).pairs())
+    assert tree.feature == [-1]
+
+
 def test_a_gradient_that_is_no_number_gives_no_split():
     bins, g = moving_together(500), np.full(500, np.nan)
     tree, _ = trees.grow_tree(bins, g, None, np.arange(500), TreeSettings(depth=3))
