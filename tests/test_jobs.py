@@ -1,5 +1,7 @@
 """The whole way: raw sources to a decision on fitted models."""
 
+import inspect
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,8 @@ from panelkit.config import Controls
 from panelkit.errors import ContractError
 from panelkit.operators import decide, models
 from panelkit.operators.features import feature_columns
-from panelkit.plans import build, training
+from panelkit.plans import build, landing_queries, training
+from panelkit.plans.queries import MODEL
 from panelkit.sources import bind
 from panelkit.staging import application_folder, exists
 
@@ -70,3 +73,24 @@ def test_tables_are_written_once_and_again_when_lost(spark, folder):
     key = next(k for k in build._WRITTEN if k[1] == "probe")
     build._WRITTEN[key] += "-gone"
     assert build.written_once(spark, folder, "probe", make).count() == 3 and len(calls) == 2
+
+
+def test_the_cycle_trains_with_the_full_settings(spark, folder, monkeypatch):
+    """Both trainings of the query get all trees; only this test replaces them by few."""
+    asked = []
+
+    def noted(real):
+        def call(*args, **kwargs):
+            given = inspect.signature(real).bind(*args, **kwargs)
+            asked.append(given.arguments["params"])
+            given.arguments["params"] = training.quick_params(MODEL)
+            return real(*given.args, **given.kwargs)
+
+        return call
+
+    for name in ("train_and_save", "retrain_from_files"):
+        monkeypatch.setattr(training, name, noted(getattr(training, name)))
+    monkeypatch.setattr(landing_queries, "written_once", lambda session, path, name, make: make(session, path))
+    row = landing_queries._retrained(spark, folder).first()
+    assert asked == [MODEL, MODEL]
+    assert row.latest == ("v2" if row.promote else "v1")
