@@ -1,6 +1,7 @@
 """The whole way: raw sources to a decision on fitted models."""
 
 import inspect
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from panelkit.config import Controls
 from panelkit.errors import ContractError
 from panelkit.operators import decide, models
 from panelkit.operators.features import feature_columns
-from panelkit.plans import build, landing_queries, training
+from panelkit.plans import build, landing_queries, model_queries, training
 from panelkit.plans.queries import MODEL
 from panelkit.sources import bind
 from panelkit.staging import application_folder, exists
@@ -94,3 +95,15 @@ def test_the_cycle_trains_with_the_full_settings(spark, folder, monkeypatch):
     row = landing_queries._retrained(spark, folder).first()
     assert asked == [MODEL, MODEL]
     assert row.latest == ("v2" if row.promote else "v1")
+
+
+def test_compared_models_are_fitted_side_by_side(spark, folder, monkeypatch):
+    """Each waits for all others to have begun, which one after the other never ends."""
+    together = threading.Barrier(len(model_queries.PREDICTORS), timeout=60)
+
+    def begun(session, path, name):
+        together.wait()
+        return session.createDataFrame([(name, None, 1.0)], "model string, month date, rmse double")
+
+    monkeypatch.setattr(model_queries, "_cv", begun)
+    assert [r.model for r in model_queries._compared(spark, folder).collect()] == list(model_queries.PREDICTORS)
