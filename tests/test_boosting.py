@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -373,3 +374,29 @@ def test_splits_of_a_wide_tree_need_no_memory_that_follows_its_nodes():
     assert most < hist.nbytes
     one = trees.best_splits(hist[:, 300:301], 1.0, 1.0)
     assert all(one[k][0] == made[k][300] for k in made)
+
+
+def test_a_fit_in_one_task_stays_within_its_memory():
+    """Bytes a row of the largest sample that is fitted in one task, well below 3 GB in all."""
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    bins = np.asfortranarray(rng.integers(0, trees.BINS, (1_000_000, 25)).astype(np.uint8))
+    train, hashes, y = np.ones(len(bins), dtype=bool), rng.integers(0, 2**62, len(bins)), rng.normal(size=len(bins))
+    for s, bytes_a_row in ((TreeSettings(rounds=2, depth=6), 140), (replace(FOREST[0], rounds=1), 180)):
+        tracemalloc.start()
+        for _ in trees.boost(bins, y, train, hashes, s, 3, 4.0, whole=False):
+            pass
+        most = (tracemalloc.get_traced_memory()[1] + bins.nbytes + y.nbytes + hashes.nbytes + train.nbytes) / len(bins)
+        tracemalloc.stop()
+        assert most < bytes_a_row and most * boosting.GROUP_ROWS < 3e9
+
+
+def test_samples_of_the_whole_table_are_fitted_without_a_job_per_level(samples, monkeypatch):
+    """Twelve million rows, as a refit on all months of a large table has, are counted as one task's."""
+    rows, _ = samples
+    monkeypatch.setattr(boosting, "_by_group", lambda *a: "by group")
+    monkeypatch.setattr(boosting, "_Levels", lambda *a: type("L", (), {"run": lambda self, nodes: "by level"})())
+    for limit, way in ((boosting.GROUP_ROWS // 12_000_000, "by group"), (0, "by level")):
+        # a row of the sample stands for 12 million
+        assert boosting._fit(rows.where("sample = 1").limit(1).withColumn("train", F.lit(True)), COLUMNS, [SETTINGS[0]], [()], 7, True, limit) == way
