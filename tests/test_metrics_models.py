@@ -226,3 +226,27 @@ def test_train_retrain_and_promotion(spark, table, tmp_path):
     a = {r.zip: r for r in models.score(latest, made.point, made.bands).collect()}
     b = {r.zip: r for r in models.score(latest, point, bands).collect()}
     assert all(a[z].point == b[z].point and a[z].p05 == b[z].p05 for z in a)
+
+
+def counted_fits(monkeypatch):
+    """Numbers of ensembles of each fit that is made from now on."""
+    from panelkit.operators import boosting
+
+    made, real = [], boosting._fit
+
+    def fit(samples, columns, settings, *rest):
+        made.append(len(settings))
+        return real(samples, columns, settings, *rest)
+
+    monkeypatch.setattr(boosting, "_fit", fit)
+    return made
+
+
+def test_boosted_models_of_the_holdout_are_one_fit(table, train_rows, monkeypatch):
+    chosen = {k: v for k, v in models.standard_predictors(QUICK).items() if k in ("naive_zero", "leafwise", "boosted")}
+    fits = counted_fits(monkeypatch)
+    together = models.holdout(table, COLUMNS, chosen, QUICK).collect()
+    assert fits == [2]
+    alone = [r for n, fn in chosen.items() for r in models.holdout(table, COLUMNS, {n: fn}, QUICK).collect()]
+    plain = lambda rows: sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in rows)
+    assert plain(together) == plain(alone)
