@@ -242,6 +242,20 @@ def counted_fits(monkeypatch):
     return made
 
 
+def test_point_and_bands_are_one_fit_and_the_same_trees(table, train_rows, monkeypatch):
+    report = models.grid_table(table.sparkSession, QUICK.grid).withColumns({"rank_corr": -F.col("grid_pos").cast("double"), "rmse": F.lit(1.0)})
+    monkeypatch.setattr(models, "grid_search", lambda *a: report)
+    fits = counted_fits(monkeypatch)
+    made = training.train(table, PANEL, QUICK)
+    assert fits == [1 + len(QUICK.quantiles)]
+    columns = training.feature_columns(table)
+    point = models.fit_model(train_rows, columns, "boosted", made.settings, QUICK.seed)
+    bands = models.fit_bands(train_rows, columns, QUICK, made.settings)
+    for a, b in zip((made.point, *made.bands.models), (point, *bands.models)):
+        assert a.base == b.base and len(a.trees) == len(b.trees)
+        assert all(np.array_equal(x[k], y[k], equal_nan=k == "cut") for x, y in zip(a.trees, b.trees) for k in x)
+
+
 def test_boosted_models_of_the_holdout_are_one_fit(table, train_rows, monkeypatch):
     chosen = {k: v for k, v in models.standard_predictors(QUICK).items() if k in ("naive_zero", "leafwise", "boosted")}
     fits = counted_fits(monkeypatch)
